@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact, licenses, lines, quality, sharding
+from . import bpe, decontaminate, exact, licenses, lines, neardup, quality, sharding
 from .common import table
 
 
@@ -10,6 +10,15 @@ def op1_quality_classifier(spark, sf_dir):
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_bpe(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return bpe.encode(docs, bpe.codec_for(docs)).select("doc_id", "ids", "n_tokens", "exact")
+
+
+def op3_simhash_near_dedup(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_benchmark_decontamination(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -31,7 +40,7 @@ def op9_exact_dedup(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_classifier, op4_benchmark_decontamination, op5_license_scans, op6_sharding, op8_line_dedup, op9_exact_dedup,
+    op1_quality_classifier, op2_bpe, op3_simhash_near_dedup, op4_benchmark_decontamination, op5_license_scans, op6_sharding, op8_line_dedup, op9_exact_dedup,
 )}
 
 ORACLE_SQL: dict[str, str] = {}
