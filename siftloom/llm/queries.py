@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, exact, licenses, lines, neardup, quality, sharding
+from . import bpe, decontaminate, exact, licenses, lines, neardup, quality, sharding, warc
+from pyspark.sql import functions as F
+
 from .common import table
 
 
@@ -39,8 +41,14 @@ def op9_exact_dedup(spark, sf_dir):
     return exact.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_warc(spark, sf_dir):
+    chunks = warc.pages_as_chunks(table(spark, sf_dir, "pages"), chunk_bytes=4096)
+    return chunks.withColumn("payload", F.translate(F.base64("payload"), "\r\n", ""))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_bpe, op3_simhash_near_dedup, op4_benchmark_decontamination, op5_license_scans, op6_sharding, op8_line_dedup, op9_exact_dedup,
+    op10_warc,
 )}
 
 ORACLE_SQL: dict[str, str] = {}
@@ -76,3 +84,13 @@ WITH d AS (SELECT doc_id, text, CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS
 k AS (SELECT doc_id, first_value(doc_id) OVER (PARTITION BY text ORDER BY batch, doc_id NULLS LAST) AS kept_id FROM d)
 SELECT doc_id, kept_id, doc_id IS DISTINCT FROM kept_id AS duplicate FROM k
 """
+
+ORACLE_SQL["op10_warc"] = """
+WITH p AS (SELECT page_id, regexp_replace(url, '[\\r\\n]', '', 'g') AS url, encode(html) AS body,
+    md5(concat(coalesce(CAST(page_id AS VARCHAR), ''), chr(10), coalesce(regexp_replace(url, '[\\r\\n]', '', 'g'), ''), chr(10), md5(coalesce(html, '')))) AS m FROM pages),
+c AS (SELECT *, octet_length(body) AS size, unnest(generate_series(0, greatest(octet_length(body) - 1, 0) // 4096)) AS no FROM p)
+SELECT page_id, url, concat_ws('-', m[1:8], m[9:12], m[13:16], m[17:20], m[21:32]) AS record_id, CAST(no AS INTEGER) AS chunk_no,
+  no * 4096 AS chunk_start, CAST(least(4096, size - no * 4096) AS INTEGER) AS n_bytes, sha256(body[1:least(size, (no + 1) * 4096)]) AS sha256,
+  (no + 1) * 4096 >= size AS last, true AS intact, base64(body[no * 4096 + 1:(no + 1) * 4096]) AS payload
+FROM c
+"""
