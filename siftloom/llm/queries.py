@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, exact, licenses, lines, neardup, quality, sharding, warc
+from . import bpe, decontaminate, exact, licenses, lines, neardup, quality, sharding, suffix, warc
 from pyspark.sql import functions as F
 
 from .common import table
@@ -33,6 +33,10 @@ def op6_sharding(spark, sf_dir):
     return sharding.assign_shards(table(spark, sf_dir, "documents"), shards=64, appended=8)
 
 
+def op7_suffix_array_dedup(spark, sf_dir):
+    return suffix.repeated_spans(table(spark, sf_dir, "documents"))
+
+
 def op8_line_dedup(spark, sf_dir):
     return lines.line_dedup(table(spark, sf_dir, "documents"), with_count=True).select("doc_id", "text", "lines_dropped")
 
@@ -47,7 +51,7 @@ def op10_warc(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_classifier, op2_bpe, op3_simhash_near_dedup, op4_benchmark_decontamination, op5_license_scans, op6_sharding, op8_line_dedup, op9_exact_dedup,
+    op1_quality_classifier, op2_bpe, op3_simhash_near_dedup, op4_benchmark_decontamination, op5_license_scans, op6_sharding, op7_suffix_array_dedup, op8_line_dedup, op9_exact_dedup,
     op10_warc,
 )}
 
