@@ -1,0 +1,208 @@
+"""Readers of stored bodies: feeds, JSON, HTML pages, tables in Markdown, files.
+
+A body becomes rows (position, target_url, title, published_at, summary); what can't
+be read gives no row or a null, never a failed job.
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Iterator, Mapping
+from html.parser import HTMLParser
+from urllib.parse import urljoin
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import ArrayType, StringType
+
+from ..runtime import prepare
+
+
+def feed_items(bodies: DataFrame, body: str, most: int | None = None) -> DataFrame:
+    """Items of RSS 2.0 and entries of Atom in document order, by regular expressions
+    over the XML (prefixes ignored): link (``alternate`` before others, else GUID),
+    title, date and summary by the first of their names that is there."""
+    tag = lambda x, *names: F.coalesce(*[F.nullif(F.trim(F.regexp_extract(x, rf"(?s)<(?:\w+:)?{n}(?:\s[^>]*)?>(?:<!\[CDATA\[)?(.*?)(?:\]\]>)?</(?:\w+:)?{n}>", 1)), F.lit("")) for n in names])
+    attr = lambda x, p: F.nullif(F.regexp_extract(x, p, 1), F.lit(""))
+    item = F.regexp_extract_all(F.col(body), F.lit(r"(?s)<(?:\w+:)?(?:item|entry)(?:\s[^>]*)?>.*?</(?:\w+:)?(?:item|entry)>"), F.lit(0))
+    rows = bodies.select("*", F.posexplode(item).alias("position", "_x"))
+    x = F.col("_x")
+    link = F.coalesce(
+        attr(x, r"""<(?:\w+:)?link\b(?=[^>]*rel=["']alternate["'])[^>]*href=["']([^"']*)["']"""),
+        attr(x, r"""<(?:\w+:)?link\b(?![^>]*rel=)[^>]*href=["']([^"']*)["']"""),
+        tag(x, "link"),
+        F.when(tag(x, "guid").rlike("^https?://"), tag(x, "guid")),
+        attr(x, r"""<(?:\w+:)?link\b[^>]*href=["']([^"']*)["']"""),
+    )
+    plain = lambda c: _unescaped(F.trim(F.regexp_replace(c, r"(?s)<[^>]*>", "")))
+    rows = rows.select(*bodies.columns, "position", _unescaped(link).alias("target_url"), plain(tag(x, "title")).alias("title"), tag(x, "pubDate", "published", "updated", "date").alias("published_at"), plain(tag(x, "description", "summary", "content")).alias("summary"))
+    rows = rows.where(F.col("target_url").isNotNull())
+    return rows if most is None else rows.where(F.col("position") < most)
+
+
+def _unescaped(x: Column) -> Column:
+    for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&")):
+        x = F.replace(x, F.lit(a), F.lit(b))
+    return x
+
+
+def json_path(dotted: str) -> str:
+    """``a.0.b`` as ``$.a[0].b``."""
+    return "$" + "".join(f"[{p}]" if p.isdigit() else f".{p}" for p in dotted.split(".") if p)
+
+
+def json_value(value: Column, dotted: str) -> Column:
+    """Text or number at a path as text; true, false, lists and objects are null."""
+    v = F.try_variant_get(value, json_path(dotted), "variant")
+    kind = F.schema_of_variant(v)
+    return F.when(kind.isin("BOOLEAN", "VOID") | kind.startswith("ARRAY") | kind.startswith("OBJECT"), None).otherwise(F.try_variant_get(value, json_path(dotted), "string"))
+
+
+def json_items(bodies: DataFrame, body: str, items_path: str, fields: Mapping[str, str]) -> DataFrame:
+    """Elements of the array at ``items_path`` with their position and mapped fields;
+    an element without a ``target_url`` is skipped, a body that isn't JSON gives none."""
+    doc = F.try_parse_json(F.col(body))
+    array = F.try_variant_get(doc, json_path(items_path) if items_path else "$", "array<variant>")
+    rows = bodies.select("*", F.posexplode(array).alias("position", "_v"))
+    rows = rows.select(*bodies.columns, "position", *[json_value(F.col("_v"), p).alias(n) for n, p in fields.items()])
+    return rows.where(F.col("target_url").isNotNull()) if "target_url" in fields else rows
+
+
+class _Page(HTMLParser):
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.links: list[list[str]] = []
+        self.canonical: list[str] = []
+        self.base: str | None = None
+        self.head, self.open = True, False
+
+    def handle_starttag(self, tag, attrs):
+        a = dict(attrs)
+        if tag == "body":
+            self.head = False
+        elif tag == "a" and a.get("href"):
+            self.links.append([a["href"], ""])
+            self.open = True
+        elif tag == "link" and self.head and "canonical" in (a.get("rel") or "").lower().split():
+            self.canonical.append(a.get("href") or "")
+
+    def handle_endtag(self, tag):
+        if tag == "head":
+            self.head = False
+        elif tag == "a":
+            self.open = False
+
+    def handle_data(self, data):
+        if self.open:
+            self.links[-1][1] += data
+
+
+def _parsed(html: str) -> _Page:
+    p = _Page()
+    try:
+        p.feed(html)
+        p.close()
+    except (ValueError, AssertionError):  # a declaration that the parser gives up on; what came before counts
+        pass
+    return p
+
+
+def html_links(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
+    """(key, position, target_url, anchor): links of each page in document order,
+    resolved against its address; http(s) only, the first of equal ones."""
+    prepare(pages.sparkSession)
+    kind = pages.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for k, u, h in b.itertuples(index=False):
+                if not isinstance(h, str):
+                    continue
+                seen = set()
+                for href, text in _parsed(h).links:
+                    try:
+                        full = urljoin(u or "", href.strip())
+                    except ValueError:
+                        continue
+                    if full.startswith(("http://", "https://")) and full not in seen:
+                        seen.add(full)
+                        rows.append((k, len(seen) - 1, full, " ".join(text.split())))
+            yield pd.DataFrame(rows, columns=[key, "position", "target_url", "anchor"])
+
+    return pages.select(key, url, html).mapInPandas(run, f"{key} {kind}, position int, target_url string, anchor string")
+
+
+@pandas_udf(ArrayType(StringType()))
+def canonical_tags(html: pd.Series) -> pd.Series:
+    """Addresses of ``rel=canonical`` links in the head, within the first 64 KiB."""
+    return html.map(lambda h: _parsed(h[: 1 << 16]).canonical if isinstance(h, str) else [])
+
+
+@pandas_udf(StringType())
+def resolved(base: pd.Series, reference: pd.Series) -> pd.Series:
+    """An absolute http(s) address, or null."""
+
+    def one(b, r):
+        if not isinstance(r, str):
+            return None
+        try:
+            full = urljoin(b or "", r.strip())
+        except ValueError:
+            return None
+        return full if full.startswith(("http://", "https://")) else None
+
+    return pd.Series([one(b, r) for b, r in zip(base, reference)], dtype=object)
+
+
+def markdown_links(bodies: DataFrame, body: str) -> DataFrame:
+    """Links in rows of Markdown tables; lists of lists (``awesome``) are left out."""
+    line = F.explode(F.filter(F.split(body, "\n"), lambda x: x.rlike(r"^\s*\|")))
+    rows = bodies.select(*[c for c in bodies.columns if c != body], line.alias("_l"))
+    link = F.explode(F.regexp_extract_all(F.col("_l"), F.lit(r"\((https?://[^)\s]+)\)"), F.lit(1)))
+    return rows.select(*[c for c in rows.columns if c != "_l"], link.alias("target_url")).where(~F.lower("target_url").contains("awesome"))
+
+
+def recovered_json(text: str) -> str | None:
+    """The one JSON object or array that stands in a text, fenced or among prose;
+    null for none, several, or only empty ones."""
+    decoder, found, at = json.JSONDecoder(), [], 0
+    while at < len(text):
+        if text[at] in "{[":
+            try:
+                value, end = decoder.raw_decode(text, at)
+            except (ValueError, RecursionError):
+                at += 1
+                continue
+            if value:
+                found.append(text[at:end])
+            at = end
+        else:
+            at += 1
+    return found[0] if len(found) == 1 else None
+
+
+@pandas_udf(StringType())
+def json_in_text(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: recovered_json(t) if isinstance(t, str) else None)
+
+
+def file_manifest(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """(file, bytes, sha256) of every file below ``path``, in order of name."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")).orderBy("file")
+
+
+def decoded(body: Column, charset: Column) -> Column:
+    """Text of bytes in a known charset; UTF-8 where it is unknown."""
+    name = F.upper(F.trim(charset))
+    out = F.decode(body, "UTF-8")
+    for c in ("ISO-8859-1", "US-ASCII", "UTF-16"):
+        out = F.when(name == c, F.decode(body, c)).otherwise(out)
+    return out
+
+
+def charset_of(content_type: Column) -> Column:
+    return F.nullif(F.lower(F.regexp_extract(content_type, r"(?i)charset\s*=\s*[\"']?([A-Za-z0-9_.:\-]+)", 1)), F.lit(""))
