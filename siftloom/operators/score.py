@@ -48,8 +48,9 @@ def quality(title: Column, summary: Column, publisher: Column, published: Column
 
 def freshness(published: Column, as_of: Column, half_life_days: float = 90.0) -> Column:
     """Half after each half-life; a future date counts as now; null without a date."""
+    # greatest() skips nulls, so the missing date is told apart
     age = F.greatest((F.unix_timestamp(as_of) - F.unix_timestamp(published)) / 86400.0, F.lit(0.0))
-    return rounded(F.pow(F.lit(0.5), age / half_life_days))
+    return F.when(published.isNotNull(), rounded(F.pow(F.lit(0.5), age / half_life_days)))
 
 
 def composite(scores: Mapping[str, Column], weights: Mapping[str, float]) -> Column:

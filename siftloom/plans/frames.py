@@ -167,7 +167,7 @@ d1 AS (SELECT *, CASE WHEN x > 0 OR r = 0 THEN 0.0::DOUBLE ELSE round(0.68::DOUB
   round(least((CASE WHEN trim(string_split(text, chr(10))[1]) <> '' THEN 0.22::DOUBLE ELSE 0 END) + (CASE WHEN trim(text) = '' THEN 0 WHEN length(text) < 200 THEN 0.17::DOUBLE ELSE 0.34::DOUBLE END)
     + (CASE WHEN trim(source) <> '' THEN 0.22::DOUBLE ELSE 0 END) + (CASE WHEN published IS NOT NULL THEN 0.22::DOUBLE ELSE 0 END) + least(0.08::DOUBLE * (doc_id % 4), 0.24::DOUBLE), 1.0::DOUBLE), 4) AS quality,
   CASE WHEN x > 0 THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS audience_fit,
-  round(pow(0.5::DOUBLE, greatest((epoch(TIMESTAMP '{AS_OF}') - epoch(published)) / 86400.0::DOUBLE, 0.0::DOUBLE) / 90.0::DOUBLE), 4) AS freshness FROM d0),
+  CASE WHEN published IS NOT NULL THEN round(pow(0.5::DOUBLE, greatest((epoch(TIMESTAMP '{AS_OF}') - epoch(published)) / 86400.0::DOUBLE, 0.0::DOUBLE) / 90.0::DOUBLE), 4) END AS freshness FROM d0),
 d2 AS (SELECT *, round((((0.40::DOUBLE * relevance + 0.25::DOUBLE * quality) + 0.20::DOUBLE * audience_fit) + coalesce(0.15::DOUBLE * freshness, 0)) / CASE WHEN freshness IS NULL THEN 0.85::DOUBLE ELSE 1.0::DOUBLE END, 4) AS composite FROM d1),
 scored AS (SELECT *, CASE WHEN x > 0 AND toxic = 1 THEN 'developer_only' WHEN x > 0 THEN 'category_exclusion' WHEN trim(text) = '' THEN 'insufficient_content' WHEN relevance = 0 THEN 'off_topic'
   WHEN relevance < 0.35::DOUBLE THEN 'low_relevance' WHEN quality < 0.30::DOUBLE THEN 'low_quality' WHEN audience_fit < 0.20::DOUBLE THEN 'audience_mismatch' WHEN composite < 0.40::DOUBLE THEN 'below_threshold' END AS rejection_reason FROM d2)"""

@@ -12,7 +12,12 @@ _ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 def prepare(spark: SparkSession) -> SparkSession:
     """Let Python workers of a single-machine session import this package from
     where the driver has it. On a cluster the package is installed on every node
-    or passed with ``--py-files``."""
+    or passed with ``--py-files``. Batches for Python are bounded in bytes unless
+    the session says how large they may be."""
+    # Arrow batches by bytes, so a worker's memory doesn't follow the length of texts
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not spark.sparkContext.getConf().contains(key):
+        spark.conf.set(key, 4 << 20)
     env = spark.sparkContext.environment
     have = env.get("PYTHONPATH", "").split(os.pathsep)
     if _ROOT not in have:

@@ -190,7 +190,8 @@ def json_in_text(text: pd.Series) -> pd.Series:
 
 
 def file_manifest(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """(file, bytes, sha256) of every file below ``path``, in order of name."""
+    """(file, bytes, sha256) of every file below ``path`` that isn't empty (Spark's
+    scan passes over empty files), in order of name."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
     return files.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")).orderBy("file")
 
