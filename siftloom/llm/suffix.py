@@ -27,7 +27,8 @@ from .textkernel import Words, running, slice_hash, slices, split_words
 #: Passages of at least this many words that several documents have are repeats.
 MIN_WORDS = 50
 SEED_WORDS = 8
-_CHUNK_WORDS = 1 << 20
+#: Bytes of contexts that are sorted together, more only where one anchor has more.
+_CHUNK_BYTES = 2 << 20
 
 
 def anchors(w: Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -137,13 +138,16 @@ def word_ids(w: Words) -> np.ndarray:
     h = w.hash[order]
     same = np.flatnonzero(h[1:] == h[:-1])
     size = w.end - w.start
-    a, b = order[same], order[same + 1]
-    odd = size[a] != size[b]
-    n = np.where(odd, 0, size[a])
-    to = np.cumsum(n) - n
-    step = np.arange(int(n.sum())) - np.repeat(to, n)
-    wrong = w.data[np.repeat(w.start[a], n) + step] != w.data[np.repeat(w.start[b], n) + step]
-    odd[np.repeat(np.arange(len(n)), n)[wrong]] = True
+    odd = size[order[same]] != size[order[same + 1]]
+    for lo in range(0, len(same), 1 << 15):
+        part = same[lo : lo + (1 << 15)]
+        a, b = order[part], order[part + 1]
+        n = np.where(odd[lo : lo + (1 << 15)], 0, size[a])
+        to = np.cumsum(n) - n
+        step = np.arange(int(n.sum())) - np.repeat(to, n)
+        wrong = w.data[np.repeat(w.start[a], n) + step] != w.data[np.repeat(w.start[b], n) + step]
+        if wrong.any():
+            odd[lo + np.repeat(np.arange(len(n)), n)[wrong]] = True
     ids = np.empty(len(order), np.int64)
     new = np.ones(len(order), bool)
     new[same[~odd] + 1] = False
@@ -219,7 +223,7 @@ def _anchor_rows(size: int):
 def _contexts(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lo, hi in slices(b, 2, 2 << 20):
+            for lo, hi in slices(b, 2):
                 part = b.slice(lo, hi - lo)
                 w = split_words(part.column(2))
                 lists = part.column(3)
@@ -272,7 +276,7 @@ def _sorted(size: int):
             nbytes += b.nbytes
             cut = int(np.flatnonzero(np.r_[True, seed[1:] != seed[:-1]])[-1])
             over = bool(len(held) > 1 and held[-2].column(0)[-1].as_py() != seed[0])
-            if nbytes >= 6 * _CHUNK_WORDS and (cut or over):
+            if nbytes >= _CHUNK_BYTES and (cut or over):
                 yield found(pa.Table.from_batches([*held[:-1], b.slice(0, cut)]))
                 held = [b.slice(cut)]
                 nbytes = held[0].nbytes

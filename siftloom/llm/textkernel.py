@@ -38,6 +38,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+_STRETCH = 1 << 18
 BYTE_TABLE = _random_table(256, 7)
 _POW = np.ones(1, np.uint64)
 _INV = np.ones(1, np.uint64)
@@ -109,8 +110,15 @@ class Words:
     @property
     def hash(self) -> np.ndarray:
         if self._hash is None:
-            run = running(BYTE_TABLE[self.data])
-            self._hash = mix(slice_hash(run, self.start, self.end))
+            h = np.empty(len(self.start), np.uint64)
+            lo = 0
+            while lo < len(h):  # stretches of about _STRETCH bytes bound the running sums
+                base = self.start[lo]
+                hi = max(lo + 1, int(np.searchsorted(self.end, base + _STRETCH, "right")))
+                run = running(BYTE_TABLE[self.data[base : self.end[hi - 1]]])
+                h[lo:hi] = slice_hash(run, self.start[lo:hi] - base, self.end[lo:hi] - base)
+                lo = hi
+            self._hash = mix(h)
         return self._hash
 
     def grams(self, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -143,7 +151,7 @@ def split_words(col: pa.Array, punctuation: bool = False) -> Words:
     return Words(data, off, cut[keep].astype(np.int64), stop[keep].astype(np.int64))
 
 
-def slices(batch: pa.RecordBatch, column: str | int, limit: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def slices(batch: pa.RecordBatch, column: str | int, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of a batch whose texts together stay near ``limit`` bytes; a
     longer single text gets a range of its own, so memory follows the longest
     text rather than the number of rows."""
