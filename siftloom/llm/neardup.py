@@ -216,7 +216,7 @@ def near_dedup(docs: DataFrame, most_bits: int = MOST_BITS, id_col: str = "doc_i
     member = own.join(roots, "node", "left").select("id", "null_text", F.coalesce("root", "node").alias("root"))
     named = member.where(F.col("id").isNotNull() & ~F.col("null_text")).select("root").distinct()
     f = _fingerprinted(nameless.withColumn("_t", F.struct(*[F.col(c) for c in d.columns])).select(F.col("_t").alias("row"), F.col(t).alias("text")), "row", "text")
-    f = f.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    f = f.join(roots, "node", "left").select(F.col("id").alias("row"), "null_text", F.coalesce("root", "node").alias("root"))
     lone = f.where("null_text").select("row.*")
     first = f.where(~F.col("null_text")).join(named, "root", "left_anti").groupBy("root").agg(F.min_by("row", F.struct(f"row.{t}", F.xxhash64("row"))).alias("row")).select("row.*")
     return stay.unionByName(lone).unionByName(first).toDF(*docs.columns)
