@@ -24,13 +24,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import hashmap, transducer
-from .common import positional, shared_dir
+from .common import positional, remove, shared_dir, written
 from .pretokens import pieces
 from .textkernel import BYTE_TABLE, mix, running, slice_hash, slices, utf8_buffer
 
 #: File of base64 tokens and ranks.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-#: Words in the lexicon, those that occur most often; longer words than this many bytes are never in it.
+#: Most words in the lexicon, those that occur most often; longer words than this many bytes are never in it.
 LEXICON_WORDS = 1 << 17
 LONGEST_WORD = 32
 _NEVER = np.int32(2**31 - 1)
@@ -212,7 +212,7 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lo, hi in slices(b, 0, 8 << 20):
+            for lo, hi in slices(b, 0, 2 << 20):
                 data, off = utf8_buffer(b.column(0).slice(lo, hi - lo))
                 start, end, which, _ = distinct_pieces(data, off)
                 n = np.bincount(which, minlength=len(start))
@@ -225,9 +225,21 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def frequent_words(docs: DataFrame, size: int = LEXICON_WORDS, text_col: str = "text") -> list[bytes]:
-    """The ``size`` words that occur most often, of those that occur again; sorted."""
-    top = word_counts(docs, text_col).where("n > 1").orderBy(F.desc("n"), "word").limit(size)
-    return sorted(bytes(r["word"]) for r in top.select("word").collect())
+    """The words that occur most often, of those that occur again: as many whole
+    levels of their counts (sixteen to a doubling) as ``size`` words hold; sorted.
+
+    The levels are counted first, so nothing but the chosen words reaches the driver.
+    """
+    counts, path = written(word_counts(docs, text_col).where("n > 1").withColumn("level", F.floor(F.log2("n") * 16).cast("int")), "word-counts")
+    total, least = 0, None
+    for r in counts.groupBy("level").agg(F.count("*").alias("words")).orderBy(F.desc("level")).collect():
+        total += r["words"]
+        if total > size:
+            break
+        least = r["level"]
+    found = [] if least is None else sorted(bytes(r["word"]) for r in counts.where(F.col("level") >= least).select("word").collect())
+    remove(docs.sparkSession, path)
+    return found
 
 
 @dataclass(frozen=True)
