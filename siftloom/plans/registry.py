@@ -1,7 +1,7 @@
 """Registered queries over the reference's operator families."""
 
-from . import curation, identity, ledgers, reports
+from . import curation, editorial, identity, ledgers, reports
 
-_PLANS = (identity, curation, ledgers, reports)
+_PLANS = (identity, curation, ledgers, reports, editorial)
 QUERIES: dict = {n: q for p in _PLANS for n, q in p.QUERIES.items()}
 ORACLE_SQL: dict[str, str] = {n: s for p in _PLANS for n, s in p.ORACLE_SQL.items()}
