@@ -23,13 +23,13 @@ def robots_allowed(pages: DataFrame, url: str, rules: DataFrame, agent: str) ->
     mine = F.when(F.col("agent") == "*", 0).when(F.lit(agent.lower()).contains(F.lower("agent")), F.length("agent")).otherwise(-1)
     r = rules.withColumn("_m", mine).where("_m >= 0")
     best = r.groupBy("host").agg(F.max("_m").alias("_b"))
-    r = r.join(F.broadcast(best), "host").where("_m = _b").where(F.col("pattern") != "").select("host", F.length("pattern").alias("len"), robots_regex(F.col("pattern")).alias("rx"), "allow")
+    r = r.join(best, "host").where("_m = _b").where(F.col("pattern") != "").select("host", F.length("pattern").alias("len"), robots_regex(F.col("pattern")).alias("rx"), "allow")
     groups = r.groupBy("host").agg(F.collect_set(F.struct("len", "allow", "rx")).alias("_rules"))
     path = F.concat(F.when(urls.part(F.col(url), 3) == "", "/").otherwise(urls.part(F.col(url), 3)), F.coalesce(urls.part(F.col(url), 4), F.lit("")))
     hit = F.array_max(F.transform(F.filter("_rules", lambda x: F.rlike(F.col("_path"), x["rx"])), lambda x: F.struct(x["len"].alias("len"), x["allow"].alias("allow"))))
     return (
         pages.withColumns({"_host": urls.host(F.col(url)), "_path": path})
-        .join(F.broadcast(groups.withColumnRenamed("host", "_host")), "_host", "left")
+        .join(groups.withColumnRenamed("host", "_host"), "_host", "left")
         .withColumn("allowed", F.coalesce(hit["allow"], F.lit(True)))
         .drop("_host", "_path", "_rules")
     )
@@ -98,7 +98,7 @@ def alias_decision(rows: DataFrame, migrations: DataFrame | None = None) -> Data
     x = x.withColumn("_tag", F.get("_tags", F.lit(0)))
     x = x.withColumns({"_from": urls.registrable(urls.host(F.col("_here"))), "_into": urls.registrable(urls.host(F.col("_tag")))})
     if migrations is not None:
-        known = F.broadcast(migrations.select(F.col("from_host").alias("_from"), F.col("to_host").alias("_into"), F.lit(True).alias("_rule")).distinct())
+        known = migrations.select(F.col("from_host").alias("_from"), F.col("to_host").alias("_into"), F.lit(True).alias("_rule")).distinct()
         x = x.join(known, ["_from", "_into"], "left")
     else:
         x = x.withColumn("_rule", F.lit(None).cast("boolean"))

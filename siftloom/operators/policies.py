@@ -88,7 +88,7 @@ def tiers(items: DataFrame, table: DataFrame, key: str, default: str = "evergree
 
 def target_minimum(entries: DataFrame, tier_defaults: DataFrame) -> DataFrame:
     """(slug, target): an entry's own override, else its tier's default."""
-    return entries.join(F.broadcast(tier_defaults), "tier", "left").select("slug", F.coalesce("override", "default_min").alias("target"))
+    return entries.join(tier_defaults, "tier", "left").select("slug", F.coalesce("override", "default_min").alias("target"))
 
 
 def shared_slugs(vocabulary: DataFrame, axis: str, slug: str, sentinel: Sequence[str] = ()) -> DataFrame:

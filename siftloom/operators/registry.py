@@ -116,7 +116,7 @@ def drift(shard: DataFrame, union: DataFrame, key: str) -> DataFrame:
 def matrix(categories: DataFrame, topics: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """Cells of every category (i, category) with every topic (j, topic), or of the
     listed pairs (i, j) alone."""
-    cells = categories.crossJoin(F.broadcast(topics))
+    cells = categories.crossJoin(topics)
     if pairs is not None:
         cells = cells.join(pairs, ["i", "j"], "left_semi")
     return cells.select("i", "j", "category", "topic", F.concat("category", F.lit("#"), F.col("i"), F.lit("_"), F.col("topic"), F.lit("#"), F.col("j")).alias("cell"))
@@ -132,5 +132,5 @@ def suffix_lookup(items: DataFrame, host: str, overrides: DataFrame, value: str)
     labels = F.split(F.col(host), "\\.")
     chain = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.struct(k.alias("far"), F.array_join(F.slice(labels, k, F.size(labels)), ".").alias("domain")))
     hosts = items.select(host).where(F.col(host).isNotNull()).distinct().select(host, F.inline(chain))
-    near = hosts.join(F.broadcast(overrides), "domain").groupBy(host).agg(F.min_by(value, "far").alias(value))
+    near = hosts.join(overrides, "domain").groupBy(host).agg(F.min_by(value, "far").alias(value))
     return items.join(near, host, "left")
