@@ -193,6 +193,8 @@ def repeats(w: Words, seed: np.ndarray, place: np.ndarray, owner: np.ndarray, ra
     head = np.zeros(len(begin), np.int64)
     head[run[holder[::-1]]] = who[holder[::-1]]
     ok = np.flatnonzero(shared[run])
+    if not len(ok):  # owners that repeat nothing but themselves
+        return (np.zeros(0, np.int64),) * 5
     c, p, f = who[ok], step[order[ok]], head[run[ok]]
     kept = rank[c] == low[run[ok]]
     back = np.lexsort((p, c))

@@ -97,3 +97,58 @@ def test_anchors_cover_every_window():
     covered = np.concatenate([np.arange(x, y + 1) for x, y in zip(p, q)])
     assert covered.tolist() == [*range(0, 151), 249] and (a >= p).all() is not None and len(seed) == len(a)
     assert ((p <= a) | (a >= q)).all() and (a + 8 <= p + 50).all() and (a >= q).all()
+
+
+def test_repeats_within_one_document_alone(spark):
+    """Documents that repeat only themselves, their chunk holding nothing else."""
+    rng = random.Random(12)
+    docs = []
+    for k in range(16):
+        own = prose(rng, 60, False)
+        near = prose(rng, 40, False)
+        docs.append((k, f"{own} middle {own}" if k % 2 else f"{near} {k} tail"))
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    assert suffix.repeated_spans(d).collect() == []
+    assert {r["doc_id"]: r["text"] for r in suffix.drop_repeats(d).collect()} == dict(docs)
+    shared = prose(rng, 30, False)  # anchors met by several, windows by none
+    docs = [(k, f"{(x := f'{k} ' + prose(rng, 30, False) + ' ' + shared)} middle {x}") for k in range(8)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    kept, gone = collections.defaultdict(set), collections.defaultdict(set)
+    for r in suffix.repeated_spans(d, 20).collect():
+        (kept if r["kept"] else gone)[r["doc_id"]].update(range(r["start_word"], r["end_word"]))
+    assert (dict(kept), dict(gone)) == brute(dict(docs), 20)
+
+
+def test_kernel_equals_brute_force_over_random_tables(spark, monkeypatch):
+    for seed in range(12):
+        rng = random.Random(seed)
+        monkeypatch.setattr(suffix, "_CHUNK_BYTES", rng.choice([1, 400, 4000, 1 << 20]))
+        pool = [prose(rng, rng.randint(3, 14), False) for _ in range(4)]
+        docs = {}
+        for k in range(rng.randint(1, 14)):
+            own = prose(rng, rng.randint(0, 9), False)
+            docs[k] = " ".join([rng.choice([own, rng.choice(pool)]) for _ in range(rng.randint(1, 5))])
+        kept, gone = collections.defaultdict(set), collections.defaultdict(set)
+        for r in in_process(docs, 9):
+            (kept if r["kept"] else gone)[r["id"]].update(range(r["start"], r["end"]))
+        assert (dict(kept), dict(gone)) == brute(docs, 9)
+
+
+def in_process(docs, size):
+    """The three kernels one after the other, without Spark."""
+    d = pa.record_batch({"r": pa.array(list(docs), pa.int64()), "text": pa.array(list(docs.values()), pa.string())})
+    rows = pa.Table.from_batches(list(suffix._anchor_rows(size)(iter([d])))).to_pylist()
+    owners = collections.defaultdict(set)
+    for x in rows:
+        owners[x["seed"]].add(x["r"])
+    lists = collections.defaultdict(list)
+    for x in rows:
+        if len(owners[x["seed"]]) > 1:
+            lists[x["r"]].append({k: x[k] for k in ("seed", "a", "p", "q")})
+    if not lists:
+        return []
+    kind = pa.list_(pa.struct([("seed", pa.int64()), ("a", pa.int32()), ("p", pa.int32()), ("q", pa.int32())]))
+    b = pa.record_batch({"r": pa.array(list(lists), pa.int64()), "id": pa.array(list(lists), pa.int64()), "text": pa.array([docs[k] for k in lists]), "list": pa.array(list(lists.values()), kind)})
+    contexts = pa.Table.from_batches(list(suffix._contexts(size)(iter([b])))).sort_by("seed")
+    found = list(suffix._sorted(size)(iter(contexts.to_batches(max_chunksize=3))))
+    return pa.Table.from_batches(found).to_pylist()
