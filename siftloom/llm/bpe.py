@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import hashmap, transducer
-from .common import positional, remove, shared_dir, written
+from .common import expire, positional, remove, shared_dir, written
 from .pretokens import pieces
 from .textkernel import BYTE_TABLE, mix, running, slice_hash, slices, utf8_buffer
 
@@ -36,7 +36,7 @@ LONGEST_WORD = 32
 _NEVER = np.int32(2**31 - 1)
 _SHIFT = 20
 #: Pieces up to this many bytes are merged side by side in a matrix, longer ones one by one.
-_MATRIX = 64
+_MATRIX = 128
 
 
 def read_vocabulary(path: str) -> list[bytes]:
@@ -74,32 +74,88 @@ def _merged(t: dict, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return hashmap.find((t["pair_keys"], t["pair_ids"]), left.astype(np.int64) << _SHIFT | right, _NEVER)
 
 
-def merge_long(t: dict, ids: np.ndarray) -> np.ndarray:
-    """Merges of one piece of any length: a heap over linked neighbours."""
+def _one_by_one(t: dict, ids: np.ndarray) -> np.ndarray:
+    """Merges of one piece with a heap over linked neighbours: for vocabularies in
+    which a merge may bring up a pair of a lower rank."""
     import heapq
 
+    if "_ranks" not in t:
+        used = t["pair_keys"] >= 0
+        t["_ranks"] = dict(zip(t["pair_keys"][used].tolist(), t["pair_ids"][used].tolist()))
+    rank = t["_ranks"].get
     n = len(ids)
     tok, nxt, prv = ids.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
-    first = _merged(t, ids[:-1], ids[1:])
-    heap = [(int(r), i, int(ids[i]), int(ids[i + 1])) for i, r in enumerate(first) if r != _NEVER]
+    heap = [(r, i, a, b) for i, (a, b) in enumerate(zip(tok, tok[1:])) if (r := rank(a << _SHIFT | b)) is not None]
     heapq.heapify(heap)
-    one = lambda a, b: int(_merged(t, np.array([a]), np.array([b]))[0])
     while heap:
         r, i, a, b = heapq.heappop(heap)
         j = nxt[i] if tok[i] is not None else n
         if tok[i] != a or j >= n or tok[j] != b:
             continue
         tok[i], tok[j] = r, None
-        nxt[i] = nxt[j]
-        if nxt[j] < n:
-            prv[nxt[j]] = i
-            if (m := one(r, tok[nxt[j]])) != _NEVER:
-                heapq.heappush(heap, (m, i, r, tok[nxt[j]]))
-        if prv[i] >= 0 and (m := one(tok[prv[i]], r)) != _NEVER:
-            heapq.heappush(heap, (m, prv[i], tok[prv[i]], r))
+        k = nxt[i] = nxt[j]
+        if k < n:
+            prv[k] = i
+            if (m := rank(r << _SHIFT | tok[k])) is not None:
+                heapq.heappush(heap, (m, i, r, tok[k]))
+        if (k := prv[i]) >= 0 and (m := rank(tok[k] << _SHIFT | r)) is not None:
+            heapq.heappush(heap, (m, k, tok[k], r))
     return np.array([x for x in tok if x is not None], np.int32)
 
 
+def merge_long(t: dict, ids: np.ndarray) -> np.ndarray:
+    """Merges of one piece of any length, rank by rank: all places of the lowest
+    rank are merged at once, of overlapping ones the leftmost, which is what one
+    merge after another gives as long as merges only bring up higher ranks."""
+    import heapq
+
+    n = len(ids)
+    tok = np.append(ids, -1).astype(np.int32)
+    nxt, prv = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
+    rank = np.full(n + 1, _NEVER, np.int32)
+    rank[: n - 1] = _merged(t, ids[:-1], ids[1:])
+    there = np.ones(n, bool)
+    places: dict[int, list[np.ndarray]] = {}
+    heap: list[int] = []
+
+    def put(at: np.ndarray) -> None:
+        at = at[np.argsort(rank[at], kind="stable")]
+        r = rank[at]
+        cut = np.flatnonzero(r[1:] != r[:-1]) + 1
+        for part in np.split(at, cut) if len(at) else []:
+            own = int(rank[part[0]])
+            if own not in places:
+                places[own] = []
+                heapq.heappush(heap, own)
+            places[own].append(part)
+
+    put(np.flatnonzero(rank != _NEVER).astype(np.int32))
+    while heap:
+        r = heapq.heappop(heap)
+        at = np.unique(np.concatenate(places.pop(r)))
+        at = at[rank[at] == r]
+        if not len(at):
+            continue
+        chained = np.r_[False, nxt[at[:-1]] == at[1:]]
+        run = np.maximum.accumulate(np.where(chained, 0, np.arange(len(at))))
+        at = at[(np.arange(len(at)) - run) % 2 == 0]
+        gone = nxt[at]
+        after = nxt[gone]
+        tok[at], nxt[at], rank[gone], there[gone] = r, after, _NEVER, False
+        prv[after] = at
+        left = prv[at]
+        touched = np.unique(np.r_[at, left[left >= 0]])
+        right = nxt[touched]
+        rank[touched] = _NEVER
+        inside = right < n
+        rank[touched[inside]] = _merged(t, tok[touched[inside]], tok[right[inside]])
+        new = rank[touched]
+        if (new < r).any():
+            return _one_by_one(t, ids)
+        put(touched[new != _NEVER])
+    return tok[:n][there]
+
+
 def merge(t: dict, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(flat ids, ids of each piece): exact merges of slices of ``data``. Again and
     again the lowest-ranked pair of neighbours, the leftmost of several, is merged."""
@@ -107,11 +163,12 @@ def merge(t: dict, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tupl
     count = np.zeros(len(start), np.int64)
     parts: list[tuple[np.ndarray, np.ndarray]] = []  # (pieces, matrix of ids)
     low = 0
-    for width in (4, 8, 12, 16, 24, 32, _MATRIX):
+    for width in (4, 8, 12, 16, 24, 32, 64, _MATRIX):
         own = np.flatnonzero((size > low) & (size <= width))
         low = width
-        for lo in range(0, len(own), 1 << 15):
-            rows = own[lo : lo + (1 << 15)]
+        part = (1 << 20) // width
+        for lo in range(0, len(own), part):
+            rows = own[lo : lo + part]
             at = start[rows, None] + np.arange(width)
             inside = np.arange(width) < size[rows, None]
             ids = np.where(inside, t["bytes"][data[np.where(inside, at, 0)]], -1).astype(np.int32)
@@ -260,6 +317,8 @@ def build_codec(spark: SparkSession, words: list[bytes], vocabulary: str = VOCAB
     t |= transducer.compile_words(words)
     head, blob, place = {}, [], 0
     for name, a in t.items():
+        if name[0] == "_":
+            continue
         raw = np.ascontiguousarray(a).tobytes()
         head[name] = [a.dtype.str, len(a), place]
         pad = -len(raw) % 64
@@ -272,6 +331,7 @@ def build_codec(spark: SparkSession, words: list[bytes], vocabulary: str = VOCAB
     out = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p)
     out.write(bytearray(len(top).to_bytes(8, "little") + top + b" " * (-(8 + len(top)) % 64) + b"".join(blob)))
     out.close()
+    expire(spark, path)  # executors that start later fetch it too
     spark.sparkContext.addFile(path)
     return Codec(name)
 

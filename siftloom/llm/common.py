@@ -30,12 +30,21 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/siftloom/{name}-{uuid.uuid4().hex}"
 
 
+def expire(spark: SparkSession, path: str) -> None:
+    """Let a path go when the session ends, if nobody removes it before."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
 def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write a table to the shared folder and read it back: later stages don't
-    depend on executors that may be lost. Returns the table and its path."""
+    depend on executors that may be lost. Returns the table and its path. Results
+    are lazy and may still read it, so it goes when the session ends, or earlier
+    by :func:`remove`."""
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
+    expire(spark, path)
     return spark.read.schema(df.schema).parquet(path), path
 
 

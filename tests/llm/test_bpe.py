@@ -60,6 +60,40 @@ def test_long_pieces(library, small):
         assert bpe.round_trip(small, pa.array([t]))[0].tolist() == library.encode_ordinary(t)
 
 
+def test_very_long_pieces(library, small):
+    import time
+
+    rng = random.Random(5)
+    t = "".join(rng.choice("etaoinshrdlu") for _ in range(60_000)) + "a" * 30_001 + "日本語の" * 5000
+    began = time.perf_counter()
+    flat = bpe.round_trip(small, pa.array([t]))[0]
+    assert time.perf_counter() - began < 20
+    assert bpe.decode_batch(small, flat)[0].tobytes().decode() == t
+    for p in regex.findall(PATTERN, t):
+        ids = bpe.merge_long(small, small["bytes"][np.frombuffer(p.encode(), np.uint8)])
+        assert ids.tolist() == bpe._one_by_one(small, small["bytes"][np.frombuffer(p.encode(), np.uint8)]).tolist()
+    for _ in range(200):
+        p = "".join(rng.choice(["a", "aa", "b", "the", "er", "ing", "é"]) for _ in range(rng.randint(60, 200)))
+        assert bpe.merge_long(small, small["bytes"][np.frombuffer(p.encode(), np.uint8)]).tolist() == library._encode_single_piece(p.encode())
+
+
+def test_ranks_that_fall(small):
+    """A vocabulary whose merges bring up lower ranks is merged one by one."""
+    tokens = [bytes([k]) for k in range(256)] + [b"abc", b"ab", b"bc", b"abcd"]
+    t = bpe.tables(tokens)
+    rng = random.Random(1)
+    ranks = {x: i for i, x in enumerate(tokens)}
+    for _ in range(100):
+        p = "".join(rng.choice("abcd") for _ in range(rng.randint(1, 300))).encode()
+        parts = [p[i : i + 1] for i in range(len(p))]
+        while True:
+            best = min(((ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks), default=None)
+            if best is None:
+                break
+            parts[best[1] : best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
+        assert bpe.merge_long(t, t["bytes"][np.frombuffer(p, np.uint8)]).tolist() == [ranks[x] for x in parts]
+
+
 def test_transducer_is_minimal_and_complete():
     rng = random.Random(4)
     words = sorted({("".join(rng.choice("abc") for _ in range(rng.randint(0, 6))) + rng.choice(["", "ing", "tion"])).encode() for _ in range(400)})
