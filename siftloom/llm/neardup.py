@@ -177,18 +177,20 @@ def near_duplicates(docs: DataFrame, most_bits: int = MOST_BITS, id_col: str = "
 
 
 def _fingerprinted(d: DataFrame, i: str, t: str) -> DataFrame:
-    """(id, null_text, node, f0..f3); the node is a 64-bit hash of the fingerprint."""
+    """(id, h, null_text, node, f0..f3); ``h`` is a 64-bit hash of the text, the node
+    one of the fingerprint."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi in slices(b, 1):
                 part = b.slice(lo, hi - lo)
                 f = fingerprints(part.column(1))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.compute.is_null(part.column(1)), *(pa.array(c) for c in f.T)], ["id", "null_text", *_WORDS])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.compute.is_null(part.column(1)), *(pa.array(c) for c in f.T)], ["id", "h", "null_text", *_WORDS])
 
     kind = d.schema[i].dataType.simpleString()
-    f = d.select(F.col(i).alias("id"), F.col(t).alias("text")).mapInArrow(run, f"id {kind}, null_text boolean, " + ", ".join(f"{w} long" for w in _WORDS))
-    return f.select("id", "null_text", F.xxhash64(*_WORDS).alias("node"), *_WORDS)
+    rows = d.select(F.col(i).alias("id"), F.col(t).alias("text"), F.xxhash64(t).alias("h"))
+    f = rows.mapInArrow(run, f"id {kind}, h long, null_text boolean, " + ", ".join(f"{w} long" for w in _WORDS))
+    return f.select("id", "h", "null_text", F.xxhash64(*_WORDS).alias("node"), *_WORDS)
 
 
 def _grouped(docs: DataFrame, most_bits: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
@@ -197,26 +199,29 @@ def _grouped(docs: DataFrame, most_bits: int, id_col: str, text_col: str) -> tup
     nodes = own.where(~F.col("null_text")).select("node", *_WORDS).distinct()
     keyed = nodes.mapInArrow(_buckets, "bucket int, node long, " + ", ".join(f"{w} long" for w in _WORDS))
     edges = keyed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_edges(most_bits), "u long, v long")
-    return own.select("id", "null_text", "node"), components(edges)
+    return own.select("id", "h", "null_text", "node"), components(edges)
 
 
 def near_dedup(docs: DataFrame, most_bits: int = MOST_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each group of :func:`near_duplicates`: the one
-    with the smallest id. All columns stay; rows with null texts stay; of rows
-    without an id a group keeps one only where no row of it has an id."""
+    with the smallest id. All columns stay; rows with null texts stay.
+
+    Rows are told apart by id and text, so of an id with several texts those stay
+    that no smaller id has a near duplicate of; rows that repeat the document which
+    stays, with its id and a text of its group, are that document and stay. A group
+    of rows without an id keeps one of them, the one of the smallest text hash; a
+    group in which any row has an id keeps none of them."""
     d, (i, t) = positional(docs, id_col, text_col)
-    same = near_duplicates(d, most_bits, i, t)
-    gone = same.where("duplicate").select(F.col("doc_id").alias("_gone")).where(F.col("_gone").isNotNull()).distinct()
-    stay = d.where(F.col(i).isNotNull()).join(gone, F.col(i) == F.col("_gone"), "left_anti")
-    nameless = d.where(F.col(i).isNull())
-    if nameless.isEmpty():
-        return stay.toDF(*docs.columns)
-    # rows without an id are told apart by their text; the smallest one stays where no id stands for the group
     own, roots = _grouped(d, most_bits, i, t)
-    member = own.join(roots, "node", "left").select("id", "null_text", F.coalesce("root", "node").alias("root"))
-    named = member.where(F.col("id").isNotNull() & ~F.col("null_text")).select("root").distinct()
-    f = _fingerprinted(nameless.withColumn("_t", F.struct(*[F.col(c) for c in d.columns])).select(F.col("_t").alias("row"), F.col(t).alias("text")), "row", "text")
-    f = f.join(roots, "node", "left").select(F.col("id").alias("row"), "null_text", F.coalesce("root", "node").alias("root"))
-    lone = f.where("null_text").select("row.*")
-    first = f.where(~F.col("null_text")).join(named, "root", "left_anti").groupBy("root").agg(F.min_by("row", F.struct(f"row.{t}", F.xxhash64("row"))).alias("row")).select("row.*")
-    return stay.unionByName(lone).unionByName(first).toDF(*docs.columns)
+    member = own.where(~F.col("null_text")).join(roots, "node", "left").select("id", "h", F.coalesce("root", "node").alias("root"))
+    nameless = F.col("id").isNull()
+    first = member.groupBy("root").agg(F.min(F.struct(nameless.alias("none"), F.col("id"), F.when(nameless, F.col("h")).alias("h"))).alias("first"))
+    judged = member.join(first, "root").select("id", "h", (F.col("first.id").eqNullSafe(F.col("id")) & F.coalesce(F.col("first.h") == F.col("h"), ~nameless)).alias("stays"))
+    gone = judged.where(~nameless & ~F.col("stays")).select(F.col("id").alias("_gone"), F.col("h").alias("_h")).distinct()
+    h = F.xxhash64(t)
+    named = d.where(F.col(i).isNotNull()).join(gone, (F.col(i) == F.col("_gone")) & (h == F.col("_h")), "left_anti")
+    alone = judged.where(nameless & F.col("stays")).select(F.col("h").alias("_h")).distinct()
+    without = d.where(F.col(i).isNull())
+    # equal texts without an id: one row stands for them
+    heads = without.where(F.col(t).isNotNull()).join(alone, h == F.col("_h")).groupBy("_h").agg(F.min_by(F.struct(*d.columns), F.xxhash64(*d.columns)).alias("row")).select("row.*")
+    return named.unionByName(without.where(F.col(t).isNull())).unionByName(heads).toDF(*docs.columns)
