@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .common import positional
 from .textkernel import WORDISH, Words, slices, utf8_buffer
 
-#: Benchmarks up to this many bytes of text go to every task; larger ones meet the documents in a shuffle.
+#: Benchmarks up to this many bytes of text go to every task at once; larger ones are taken in parts.
 BROADCAST_BYTES = 32 << 20
 
 
@@ -88,48 +88,72 @@ def tiles(doc: list, item: list, min_match: int, seeds: list[tuple[int, int]] |
 
 
 class Items:
-    """Benchmark items ready for matching: word hashes, and sorted seed hashes by seed length."""
+    """Benchmark items ready for matching, in flat arrays: their tokens' hashes and
+    bytes, and the table of their seeds (hash, item, place), sorted by hash, for
+    each length of seed."""
 
     def __init__(self, ids: list, texts: list[str | None], min_match: int):
         w = tokens(pa.array(texts, pa.string()))
         self.ids, self.min_match = ids, min_match
-        self.words = [w.hash[a:b].tolist() for a, b in zip(w.first[:-1], w.first[1:])]
-        by: dict[int, tuple[list, list, list]] = {}
-        for k in sorted({min(min_match, len(x)) for x in self.words if x}):
+        self.hash, self.first, self.data, self.start, self.end = w.hash, w.first, w.data, w.start, w.end
+        self.size = np.diff(w.first)
+        self.seeds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        seed = np.minimum(min_match, self.size)
+        for k in np.unique(seed[seed > 0]).tolist():
             at, h = w.grams(k)
-            own = np.array([min(min_match, len(x)) == k for x in self.words])
-            use = own[w.doc[at]]
+            use = seed[w.doc[at]] == k
             at, h = at[use], h[use]
             order = np.argsort(h, kind="stable")
-            by[k] = (h[order], w.doc[at][order], (at - w.first[w.doc[at]])[order])
-        self.seeds = by
+            at = at[order]
+            self.seeds[k] = h[order], w.doc[at].astype(np.int32), (at - w.first[w.doc[at]]).astype(np.int32)
+
+    def _met(self, w: Words) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(row, item, places in the document, places in the item) of the seeds that
+        each pair shares: the join of both seed tables by hash."""
+        rows, items, at_doc, at_item = [], [], [], []
+        for k, (h, item, place) in self.seeds.items():
+            at, g = w.grams(k)
+            lo, hi = np.searchsorted(h, g, "left"), np.searchsorted(h, g, "right")
+            hit = np.flatnonzero(hi > lo)
+            n = (hi - lo)[hit]
+            j = np.repeat(lo[hit] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            a = np.repeat(at[hit], n)
+            rows.append(w.doc[a])
+            items.append(item[j])
+            at_doc.append(a - w.first[w.doc[a]])
+            at_item.append(place[j])
+        if not rows:
+            return
+        row, item, d, p = (np.concatenate(x) for x in (rows, items, at_doc, at_item))
+        order = np.lexsort((p, d, item, row))
+        row, item, d, p = row[order], item[order], d[order], p[order]
+        cut = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (item[1:] != item[:-1])]) if len(row) else np.zeros(0, np.int64)
+        for a, b in zip(cut, np.append(cut[1:], len(row))):
+            yield int(row[a]), int(item[a]), d[a:b], p[a:b]
+
+    def _equal(self, w: Words, at: int, own: int, n: int) -> bool:
+        """Whether ``n`` tokens of the batch from ``at`` are those of the items from ``own``."""
+        return all(
+            w.data[w.start[at + j] : w.end[at + j]].tobytes() == self.data[self.start[own + j] : self.end[own + j]].tobytes() for j in range(n)
+        )
 
     def match(self, texts: pa.Array, threshold: float) -> Iterator[tuple[int, int, int, int]]:
         """(row, item number, tokens covered, tokens) of the pairs covered to the threshold."""
         w = tokens(texts)
-        met: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
-        for k, (h, item, place) in self.seeds.items():
-            at, g = w.grams(k)
-            lo = np.searchsorted(h, g)
-            hit = np.flatnonzero(h[np.minimum(lo, len(h) - 1)] == g) if len(h) else []
-            for x in hit:
-                j, v = int(lo[x]), g[x]
-                row = int(w.doc[at[x]])
-                pos = int(at[x] - w.first[row])
-                while j < len(h) and h[j] == v:
-                    met[row, int(item[j])].append((pos, int(place[j])))
-                    j += 1
-        for (row, n), seeds in sorted(met.items()):
-            want = self.words[n]
-            k = min(self.min_match, len(want))
-            reach = len({p + j for _, p in seeds for j in range(k)})
-            if reach < threshold * len(want):  # the seeds cover too little even if all were marked
+        for row, n, at_doc, at_item in self._met(w):
+            size = int(self.size[n])
+            k = min(self.min_match, size)
+            mark = np.zeros(size + 1, np.int64)
+            np.add.at(mark, at_item, 1)
+            np.add.at(mark, at_item + k, -1)
+            if np.count_nonzero(np.cumsum(mark)[:size]) < threshold * size:  # too little even if all were marked
                 continue
-            doc = w.hash[w.first[row] : w.first[row + 1]]
-            found = [t for t in tiles(doc, want, k, seeds) if doc[t[0] : t[0] + t[2]].tolist() == want[t[1] : t[1] + t[2]]]
-            covered = sum(t[2] for t in found)
-            if covered >= threshold * len(want):
-                yield row, n, covered, len(want)
+            a, b = int(w.first[row]), int(self.first[n])
+            doc, want = w.hash[a : w.first[row + 1]], self.hash[b : b + size]
+            found = tiles(doc, want, k, list(zip(at_doc.tolist(), at_item.tolist())))
+            covered = sum(t[2] for t in found if self._equal(w, a + t[0], b + t[1], t[2]))
+            if covered >= threshold * size:
+                yield row, n, covered, size
 
 
 def _size(bench: DataFrame, text: str) -> int:
@@ -170,7 +194,8 @@ def contamination(
     has to occur whole; an item without words never matches. Null and empty texts
     match nothing; null ids stay null; repeated rows give repeated results; extra
     columns are not read. A benchmark beyond ``broadcast_bytes`` is taken in parts
-    of that size, each in a pass over the documents; the result is the same.
+    of that size, each in a pass over the documents; the result is the same. Items
+    that repeat an id are several items. Tiles found by hash are verified byte by byte.
     """
     d, i, t, b, bi, bt = _docs_and_items(docs, benchmark, id_col, text_col, item_col, item_text_col)
     d = d.select(F.col(i).alias("doc_id"), F.col(t).alias("text"))
@@ -179,10 +204,10 @@ def contamination(
     spark = docs.sparkSession
     out = None
     for part in _parts(b, bi, bt, broadcast_bytes):
-        held = spark.sparkContext.broadcast(([r["i"] for r in part], [r["t"] for r in part]))
+        held = spark.sparkContext.broadcast(Items([r["i"] for r in part], [r["t"] for r in part], min_match))
 
         def scan(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            items = Items(*held.value, min_match)
+            items = held.value
             for batch in batches:
                 for lo, hi in slices(batch, 1):
                     rows = list(items.match(batch.column(1).slice(lo, hi - lo), threshold))
@@ -221,10 +246,10 @@ def decontaminate(
     spark = docs.sparkSession
     at = d.columns.index(t)
     for part in _parts(b, bi, bt, broadcast_bytes):
-        held = spark.sparkContext.broadcast(([r["i"] for r in part], [r["t"] for r in part]))
+        held = spark.sparkContext.broadcast(Items([r["i"] for r in part], [r["t"] for r in part], min_match))
 
         def sift(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            items = Items(*held.value, min_match)
+            items = held.value
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)
                 for lo, hi in slices(batch, at):
