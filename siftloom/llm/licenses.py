@@ -30,6 +30,17 @@ NOTICES: dict[str, tuple[str, int]] = {
     "mit-grant": ("Permission is hereby granted, free of charge, to any person", 5),
     "all-rights-reserved": ("All rights reserved", 1),
     "spdx": ("SPDX-License-Identifier:", 2),
+    "gpl-2": ("either version 2 of the License, or (at your option) any later version", 6),
+    "lgpl": ("GNU Lesser General Public License", 3),
+    "agpl-3": ("GNU Affero General Public License", 3),
+    "bsd-endorse": ("may be used to endorse or promote products derived from this software", 6),
+    "isc": ("Permission to use, copy, modify, and/or distribute this software", 6),
+    "zlib": ("This software is provided 'as-is', without any express or implied warranty", 6),
+    "boost-1.0": ("Boost Software License - Version 1.0", 3),
+    "epl-2.0": ("Eclipse Public License - v 2.0", 2),
+    "unlicense": ("This is free and unencumbered software released into the public domain", 6),
+    "cc0-1.0": ("CC0 1.0 Universal", 1),
+    "artistic-2.0": ("The Artistic License 2.0", 2),
 }
 
 
@@ -106,7 +117,8 @@ def license_scan(docs: DataFrame, notices: dict[str, tuple[str, int]] | None = N
 
     One pass over the texts, without a shuffle. Null and empty texts give no row;
     a null id stays null; repeated rows give repeated results; extra columns are
-    not read.
+    not read. Different notices may overlap, each is reported; matches of one
+    notice don't.
     """
     table = tuple((n, t, k) for n, (t, k) in (notices or NOTICES).items())
     d, (i, t) = positional(docs, id_col, text_col)
