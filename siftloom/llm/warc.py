@@ -17,12 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import positional, scratch
+from .common import expire, positional, scratch
 
 #: Bytes of payload in a chunk.
 CHUNK_BYTES = 1 << 20
 _PIECE = 1 << 18
 _LONGEST_LINE = 1 << 16
+_MAGIC = b"\x1f\x8b\x08"
 
 CHUNKS = (
     "record_id string, warc_type string, source_id string, url string, chunk_no int, chunk_start long, "
@@ -30,13 +31,24 @@ CHUNKS = (
 )
 
 
-def _filesystem(uri: str):
-    from pyarrow import fs
+#: Schemes of Hadoop that the library has under another name.
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "abfs": "abfs", "abfss": "abfss", "gs": "gs", "gcs": "gs", "s3": "s3", "file": "file"}
 
-    return fs.FileSystem.from_uri(uri if "://" in uri else uri.replace("file:", "file://", 1) if uri.startswith("file:") else f"file://{uri}")
 
+def _filesystem(uri: str):
+    """(file system, path) of a URI as Hadoop writes it; a path without a scheme is
+    a file of this machine. Other schemes are left to the Hadoop client library."""
+    from pyarrow import fs
 
-# -- writing ---------------------------------------------------------------------
+    scheme, mark, rest = uri.partition(":")
+    if not mark or "/" in scheme:
+        return fs.LocalFileSystem(), uri
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    if scheme in _SCHEMES:
+        return fs.FileSystem.from_uri(f"{_SCHEMES[scheme]}:{rest}")
+    host, _, path = rest.removeprefix("//").partition("/")
+    return fs.HadoopFileSystem.from_uri(f"{scheme}://{host}"), f"/{path}"
 
 
 def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
@@ -55,12 +67,23 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
     rows = d.select(F.concat_ws("-", *parts).alias("record_id"), F.regexp_replace(sid, r"[\r\n]", "").alias("sid"), url.alias("url"), body.cast("binary").alias("body"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow.fs import FileType
         from pyspark import TaskContext
 
         fs, root = _filesystem(path)
         fs.create_dir(root, recursive=True)
         name = f"{root}/part-{TaskContext.get().partitionId():06d}.warc.gz"
         own = f"{root}/.{uuid.uuid4().hex}"
+        try:
+            records, total = put(fs, own, batches)
+            if records:
+                fs.move(own, name)
+                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([records]), pa.array([total])], ["file", "records", "payload_bytes"])
+        finally:  # nothing of a task that failed stays
+            if fs.get_file_info(own).type != FileType.NotFound:
+                fs.delete_file(own)
+
+    def put(fs, own: str, batches: Iterator[pa.RecordBatch]) -> tuple[int, int]:
         records = total = 0
         with fs.open_output_stream(own, compression=None) as out:
             for b in batches:
@@ -79,47 +102,59 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
                         out.write(z.compress(memoryview(body)[lo : lo + _PIECE]))
                     out.write(z.compress(b"\r\n\r\n") + z.flush())
                     records, total = records + 1, total + size
-        if records:
-            fs.move(own, name)
-            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([records]), pa.array([total])], ["file", "records", "payload_bytes"])
-        else:
-            fs.delete_file(own)
+        return records, total
 
     return rows.mapInArrow(run, "file string, records long, payload_bytes long")
 
 
-# -- reading ---------------------------------------------------------------------
-
-
 class _Stream:
-    """Bytes of a file, plain or of any number of gzip members, read piece by piece."""
+    """Bytes of a file, plain or of any number of gzip members, read piece by piece.
+    A member that can't be read on ends what can be read until :meth:`resume`."""
 
     def __init__(self, raw):
         self.raw, self.held, self.at, self.z = raw, b"", 0, None
+        self.broken = False
         self.rest = raw.read(_PIECE)
-        self.gzip = self.rest[:2] == b"\x1f\x8b"
+        self.gzip = self.rest[:2] == _MAGIC[:2]
 
     def _more(self) -> bool:
-        """Add a piece to what is held; False at the end of the file."""
+        """Add a piece to what is held; False at the end of the file or of what is whole."""
         piece = b""
         while not piece:
+            if self.broken:
+                return False
             if not self.rest:
                 self.rest = self.raw.read(_PIECE)
                 if not self.rest:
                     return False
             if not self.gzip:
                 piece, self.rest = self.rest, b""
-            else:
-                if self.z is None:
-                    self.z = zlib.decompressobj(31)
+                continue
+            if self.z is None:
+                self.z = zlib.decompressobj(31)
+            try:
                 piece = self.z.decompress(self.rest, _PIECE)
-                if self.z.eof:
-                    self.rest, self.z = self.z.unused_data.lstrip(b"\0"), None
-                else:
-                    self.rest = self.z.unconsumed_tail
+            except zlib.error:
+                self.broken, self.z = True, None
+                return False
+            if self.z.eof:
+                self.rest, self.z = self.z.unused_data.lstrip(b"\0"), None
+            else:
+                self.rest = self.z.unconsumed_tail
         self.held, self.at = self.held[self.at :] + piece, 0
         return True
 
+    def resume(self) -> None:
+        """Go on at the next member after a broken one."""
+        self.held, self.at, self.broken = b"", 0, False
+        self.rest = self.rest[1:]
+        while (k := self.rest.find(_MAGIC)) < 0:
+            piece = self.raw.read(_PIECE)
+            self.rest = self.rest[-2:] + piece if piece else b""
+            if not piece:
+                return
+        self.rest = self.rest[k:]
+
     def read(self, n: int) -> bytes:
         while len(self.held) - self.at < n and self._more():
             pass
@@ -127,37 +162,73 @@ class _Stream:
         self.at += len(out)
         return out
 
-    def line(self) -> bytes | None:
-        """The next line without its end; None at the end of the file."""
+    def line(self) -> tuple[bytes | None, bool]:
+        """(the next line without its end, whether it is whole); None at the end of
+        the file. Of a line beyond ``_LONGEST_LINE`` the beginning is given and the
+        rest is passed over."""
+        kept, whole = b"", True
         while (k := self.held.find(b"\n", self.at)) < 0:
             if len(self.held) - self.at > _LONGEST_LINE:
-                raise ValueError("a WARC header line is too long")
+                kept, whole = kept or self.held[self.at : self.at + _LONGEST_LINE], False
+                self.held, self.at = b"", 0
             if not self._more():
-                out, self.at = self.held[self.at :], len(self.held)
-                return out or None
-        out, self.at = self.held[self.at : k], k + 1
-        return out.rstrip(b"\r")
+                out, self.at = kept or self.held[self.at :], len(self.held)
+                return out or None, whole
+        out, self.at = kept or self.held[self.at : k], k + 1
+        return out.rstrip(b"\r"), whole
+
+
+def _header(s: _Stream) -> tuple[dict[str, str], bool]:
+    """Fields of a record's header, and whether all of it could be read."""
+    head: dict[str, str] = {}
+    last, sound = None, True
+    while True:
+        line, whole = s.line()
+        if not line:
+            return head, sound and line is not None
+        sound &= whole
+        if line[:1] in b" \t" and last:
+            head[last] += " " + line.decode("utf-8", "replace").strip()
+            continue
+        name, _, value = line.decode("utf-8", "replace").partition(":")
+        last = name.strip().lower()
+        head[last] = value.strip()
 
 
 def records(raw, chunk_bytes: int) -> Iterator[tuple]:
-    """Rows of ``CHUNKS`` of one open file. Memory holds one chunk and one piece."""
+    """Rows of ``CHUNKS`` of one open file. Memory holds one chunk and one piece.
+    Damage is one row that is last and not intact; what can be read goes on after it."""
     s = _Stream(raw)
-    while (line := s.line()) is not None:
+    nothing = hashlib.sha256().hexdigest()
+    lost = (None, None, None, None, 0, 0, 0, nothing, True, False, None)
+    skipping = False
+    while True:
+        line, _ = s.line()
+        if line is None:
+            if not s.broken:
+                return
+            if not skipping:  # a member that broke before its record began
+                yield lost
+            s.resume()
+            skipping = False
+            continue
         if not line.strip():
             continue
         if not line.startswith(b"WARC/"):
-            raise ValueError(f"not a WARC record: {line[:40]!r}")
-        head: dict[str, str] = {}
-        last = None
-        while line := s.line():
-            if line[:1] in b" \t" and last:
-                head[last] += " " + line.decode("utf-8", "replace").strip()
-                continue
-            name, _, value = line.decode("utf-8", "replace").partition(":")
-            last = name.strip().lower()
-            head[last] = value.strip()
-        size = int(head.get("content-length", 0))
+            if not skipping:
+                yield lost
+            skipping = True
+            continue
+        skipping = False
+        head, sound = _header(s)
         rid = head.get("warc-record-id", "").strip("<>").removeprefix("urn:uuid:")
+        names = (rid, head.get("warc-type"), head.get("x-source-id"), head.get("warc-target-uri"))
+        length = head.get("content-length", "0")
+        if not (length.isascii() and length.isdigit() and len(length) < 19):
+            yield *names, *lost[4:]
+            skipping = True
+            continue
+        size = int(length)
         said = head.get("warc-block-digest", "").partition("sha256:")[2].lower()
         digest, done, no = hashlib.sha256(), 0, 0
         while True:
@@ -166,12 +237,14 @@ def records(raw, chunk_bytes: int) -> Iterator[tuple]:
             digest.update(part)
             so_far = digest.copy().hexdigest()
             end = short or done + len(part) == size
-            intact = not short and (not end or so_far == (said or so_far))
+            intact = not short and (not end or sound and so_far == (said or so_far))
             payload = None if head.get("x-payload") == "null" else part
-            yield rid, head.get("warc-type"), head.get("x-source-id"), head.get("warc-target-uri"), no, done, len(part), so_far, end, intact, payload
+            yield *names, no, done, len(part), so_far, end, intact, payload
             done, no = done + len(part), no + 1
             if end:
                 break
+        if short and s.broken:
+            skipping = True  # its row has told of the damage
 
 
 def read_warc(spark: SparkSession, path: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -180,8 +253,15 @@ def read_warc(spark: SparkSession, path: str, chunk_bytes: int = CHUNK_BYTES) ->
     Every record has at least one row: an empty payload is one chunk of no bytes.
     ``sha256`` is of the payload up to the chunk's end. ``last`` marks the record's
     last chunk, where ``intact`` is false if the payload is shorter than declared
-    or doesn't fit the digest declared; before it is true. A file that ends within a record gives
-    what there is; something else than a record is an error.
+    or doesn't fit the digest declared; before it is true.
+
+    Damage costs what is damaged only. A file that ends, or a gzip member that
+    breaks, within a record gives what there is, not intact; reading goes on with
+    the next member. A record whose ``Content-Length`` isn't a number gives one
+    chunk without a payload, not intact, and reading goes on at the next line that
+    begins a record; so does a stretch that isn't a record at all, with nulls in
+    all names. Of a header line beyond 64 KiB the beginning counts, and the
+    record isn't intact.
     """
     if chunk_bytes < 1:
         raise ValueError("chunk_bytes must be at least 1")
@@ -213,15 +293,18 @@ def read_warc(spark: SparkSession, path: str, chunk_bytes: int = CHUNK_BYTES) ->
 
 
 def whole_records(chunks: DataFrame, largest: int = 64 << 20) -> DataFrame:
-    """(record_id, source_id, url, payload) of the records of at most ``largest``
-    bytes; the chunks of larger ones stay in the chunk table."""
-    fit = chunks.groupBy("record_id").agg(F.sum("n_bytes").alias("_n")).where(F.col("_n") <= largest).select("record_id")
-    rows = chunks.join(fit, "record_id").groupBy("record_id").agg(
-        F.min("source_id").alias("source_id"), F.min("url").alias("url"), F.array_sort(F.collect_set(F.struct("chunk_no", "payload"))).alias("c")
+    """(record_id, source_id, url, n_bytes, whole, payload) of all records. Those of
+    more than ``largest`` bytes aren't put together: ``whole`` is false, the payload
+    null, and their chunks stay in the chunk table. Chunks without an identifier
+    are left out."""
+    size = chunks.where(F.col("record_id").isNotNull()).groupBy("record_id").agg(
+        F.sum("n_bytes").alias("n_bytes"), F.min("source_id").alias("source_id"), F.min("url").alias("url")
     )
+    size = size.withColumn("whole", F.col("n_bytes") <= largest)
+    parts = chunks.select("record_id", "chunk_no", "payload").join(size.where("whole").select("record_id"), "record_id").groupBy("record_id").agg(F.array_sort(F.collect_set(F.struct("chunk_no", "payload"))).alias("c"))
     # an absent payload stays null: concat of nothing but nulls
     joined = F.aggregate(F.slice("c", 2, F.greatest(F.size("c") - 1, F.lit(0))), F.element_at("c", 1)["payload"], lambda a, x: F.concat(a, x["payload"]))
-    return rows.select("record_id", "source_id", "url", joined.alias("payload"))
+    return size.join(parts.select("record_id", joined.alias("payload")), "record_id", "left").select("record_id", "source_id", "url", "n_bytes", "whole", "payload")
 
 
 def pages_as_chunks(pages: DataFrame, chunk_bytes: int = CHUNK_BYTES, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
@@ -229,7 +312,9 @@ def pages_as_chunks(pages: DataFrame, chunk_bytes: int = CHUNK_BYTES, id_col: st
     (page_id, url, record_id, chunk_no, chunk_start, n_bytes, sha256, last, intact, payload)."""
     spark = pages.sparkSession
     path = scratch(spark, "warc")
-    if not write_warc(pages, path, id_col, url_col, payload_col).agg(F.sum("records")).first()[0]:
+    total = write_warc(pages, path, id_col, url_col, payload_col).agg(F.sum("records")).first()[0]
+    expire(spark, path)
+    if not total:
         chunks = spark.createDataFrame([], CHUNKS)
     else:
         chunks = read_warc(spark, path, chunk_bytes)
