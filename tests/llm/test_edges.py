@@ -91,6 +91,15 @@ def test_near_duplicates(spark, full, empty):
 def test_near_dedup_without_ids(spark):
     d = spark.createDataFrame([(None, "alpha beta gamma"), (None, "Alpha, beta gamma"), (None, None)], "doc_id long, text string")
     assert neardup.near_dedup(d).count() == 2
+    d = spark.createDataFrame([(None, "alpha beta gamma", 1), (None, "alpha beta gamma", 2), (7, "delta epsilon", 3), (None, "delta epsilon", 4)], "doc_id long, text string, x int")
+    assert [r["doc_id"] for r in neardup.near_dedup(d).collect() if r["text"][0] == "d"] == [7] and neardup.near_dedup(d).count() == 2
+
+
+def test_near_dedup_of_one_id_with_several_texts(spark):
+    rng = random.Random(8)
+    a, b = prose(rng, 90), " ".join(f"other{k} words{k}" for k in range(60))
+    d = spark.createDataFrame([(1, a), (5, a), (5, b), (5, b), (6, b + " more"), (2, a + " tail")], "doc_id long, text string")
+    assert sorted((r["doc_id"], r["text"] == a, r["text"] == b) for r in neardup.near_dedup(d).collect()) == [(1, True, False), (5, False, True), (5, False, True)]
 
 
 def test_decontamination(spark, full, empty, bench):
