@@ -1,15 +1,11 @@
-"""Signals over text fields: keyword terms compiled to regular expressions, counted
-and combined into ordered rules. Rules are data; code holds none."""
+"""Signals over text fields, and ordered rules over signals. Rules are data; code
+holds none. :mod:`siftloom.operators.scan` looks for them."""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
@@ -53,48 +49,6 @@ def term_pattern(term: str) -> str | None:
     return r"(?iuU)(?<!\w)" + r"\W+".join(re.escape(w) for w in words) + (r"\w*" if stem else "") + r"(?!\w)"
 
 
-def has_term(field: Column, term: str) -> Column:
-    p = term_pattern(term)
-    return F.lit(False) if p is None else F.coalesce(field.rlike(p), F.lit(False))
-
-
 def unusable(terms: Sequence[str]) -> list[str]:
     """Terms that no text can match."""
     return [t for t in terms if term_pattern(t) is None]
-
-
-def hits(fields: Mapping[str, Column], terms: Sequence[str]) -> Column:
-    """How many distinct terms occur in any field."""
-    anywhere = [reduce(Column.__or__, [has_term(c, t) for c in fields.values()]) for t in dict.fromkeys(terms)]
-    return reduce(Column.__add__, [a.cast("int") for a in anywhere], F.lit(0))
-
-
-def first_hit(fields: Mapping[str, Column], signal: Signal) -> Column:
-    """(signal, field, matched) of the first hit: patterns before keywords, in their
-    order, each over the fields in theirs; the quote keeps the text's case."""
-    tried = [(p, p) for p in signal.patterns] + [(term_pattern(k), k) for k in signal.keywords if term_pattern(k)]
-    found = [
-        F.when(F.coalesce(c.rlike(p), F.lit(False)), F.struct(F.lit(signal.name).alias("signal"), F.lit(n).alias("field"), F.regexp_extract(c, f"({p})" if not p.startswith("(?iuU)") else f"(?iuU)({p[6:]})", 1).alias("matched")))
-        for p, _ in tried
-        for n, c in fields.items()
-    ]
-    return F.coalesce(*found) if found else F.lit(None).cast("struct<signal:string,field:string,matched:string>")
-
-
-def fires(fields: Mapping[str, Column], signal: Signal) -> Column:
-    n = hits(fields, signal.keywords)
-    for p in signal.patterns:
-        n = n + reduce(Column.__or__, [F.coalesce(c.rlike(p), F.lit(False)) for c in fields.values()]).cast("int")
-    return n >= signal.least
-
-
-def fired(fields: Mapping[str, Column], signals: Sequence[Signal | Composite]) -> dict[str, Column]:
-    """Whether each signal fires; composites in a second pass."""
-    out = {s.name: fires(fields, s) for s in signals if isinstance(s, Signal)}
-    for s in signals:
-        if isinstance(s, Composite):
-            missing = [n for n in s.all_of if n not in out]
-            if missing:
-                raise ValueError(f"{s.name} needs unknown signals {missing}")
-            out[s.name] = reduce(Column.__and__, [out[n] for n in s.all_of])
-    return out

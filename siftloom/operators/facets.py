@@ -2,56 +2,93 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.signals import has_term
+from .scan import Search, TermList, scan
 
 SENTINEL = "cross-industry"
 
 
-def evidence(items: DataFrame, key: str, fields: dict[str, str], vocabulary: list[tuple[str, str, tuple[str, ...]]], barred: dict[tuple[str, str], set[str]] = {}) -> DataFrame:
-    """(key, axis, slug, n_terms) for each vocabulary entry (axis, slug, terms) that
-    an item has evidence for: distinct terms that stand in some allowed field.
-    ``barred`` fields of an (axis, slug), or of (axis, ``*``), ground nothing.
-
-    The vocabulary is a bounded configuration, so it is compiled into one array
-    expression: a single pass, no join."""
-    entries = []
+def term_lists(vocabulary: Sequence[tuple[str, str, tuple[str, ...]]], fields: Sequence[str], barred: Mapping[tuple[str, str], set[str]] = {}) -> dict[str, TermList]:
+    """A term list for each vocabulary entry (axis, slug, terms), over the fields
+    that may ground it: ``barred`` fields of an (axis, slug), or of (axis, ``*``),
+    ground nothing."""
+    out = {}
     for axis, slug, terms in vocabulary:
-        out = barred.get((axis, "*"), set()) | barred.get((axis, slug), set())
-        cols = [F.col(c) for n, c in fields.items() if n not in out]
-        n = F.lit(0)
-        for t in terms:
-            anywhere = F.lit(False)
-            for c in cols:
-                anywhere = anywhere | has_term(c, t)
-            n = n + anywhere.cast("int")
-        entries.append(F.struct(F.lit(axis).alias("axis"), F.lit(slug).alias("slug"), n.alias("n_terms")))
-    return items.select(key, F.inline(F.array(*entries))).where("n_terms > 0")
+        no = barred.get((axis, "*"), set()) | barred.get((axis, slug), set())
+        out[f"{axis}/{slug}"] = TermList(tuple(terms), tuple(f for f in fields if f not in no))
+    return out
+
+
+def found_array(lists: Sequence[str]) -> Column:
+    """Array of (axis, slug, n_terms) of the entries that a scan found terms of."""
+    every = F.array(*[F.struct(F.lit(x.split("/")[0]).alias("axis"), F.lit(x.split("/", 1)[1]).alias("slug"), F.col(f"`n_{x}`").alias("n_terms")) for x in lists])
+    return F.filter(every, lambda e: e["n_terms"] > 0)
+
+
+def evidence(items: DataFrame, key: str, fields: dict[str, str], vocabulary: Sequence[tuple[str, str, tuple[str, ...]]], barred: Mapping[tuple[str, str], set[str]] = {}) -> DataFrame:
+    """(key, found) for each item: an array of (axis, slug, n_terms) of the entries
+    it has evidence for, that is distinct terms that stand in some allowed field.
+    One pass over the texts, whatever the size of the vocabulary; no shuffle."""
+    lists = term_lists(vocabulary, list(fields), barred)
+    return scan(items, Search(fields, (), lists), [key]).select(key, found_array(list(lists)).alias("found"))
 
 
 def confidence(n_terms: Column) -> Column:
     return F.round(F.least(n_terms, F.lit(3)) / 3, 4)
 
 
+def ranked(axis: str) -> Column:
+    """The entries of ``found`` on one axis, most terms first, ties by slug."""
+    own = F.filter("found", lambda e: e["axis"] == axis)
+    return F.array_sort(F.transform(own, lambda e: F.struct((-e["n_terms"]).alias("o"), e["slug"].alias("slug"))))
+
+
 def single(found: DataFrame, key: str, axis: str) -> DataFrame:
     """(key, slug, confidence, tie) of an axis with one value: most terms win; a tie
-    at the top gives the sentinel."""
-    own = found.where(F.col("axis") == axis)
-    per = own.groupBy(key).agg(F.max("n_terms").alias("m"), F.array_sort(F.collect_list(F.struct((-F.col("n_terms")).alias("o"), "slug"))).alias("r"))
-    top = F.filter("r", lambda x: x["o"] == -F.col("m"))
+    at the top gives the sentinel. Items without evidence have no row."""
+    r = found.select(key, ranked(axis).alias("r")).where(F.size("r") > 0)
+    top = F.filter("r", lambda x: x["o"] == F.col("r")[0]["o"])
     tie = F.size(top) > 1
-    return per.select(key, F.when(tie, F.lit(SENTINEL)).otherwise(top[0]["slug"]).alias("slug"), confidence(F.col("m")).alias("confidence"), tie.alias("tie"))
+    return r.select(key, F.when(tie, F.lit(SENTINEL)).otherwise(F.col("r")[0]["slug"]).alias("slug"), confidence(-F.col("r")[0]["o"]).alias("confidence"), tie.alias("tie"))
 
 
 def several(found: DataFrame, key: str, axis: str, most: int = 4) -> DataFrame:
     """(key, slugs, dropped) of an axis with several values: the ``most`` with the
     most terms, ties by slug; the names of the others are told."""
-    w = Window.partitionBy(key).orderBy(F.desc("n_terms"), "slug")
-    ranked = found.where(F.col("axis") == axis).withColumn("n", F.row_number().over(w))
-    pick = lambda on: F.transform(F.array_sort(F.collect_list(F.when(on, F.struct("n", "slug")))), lambda x: x["slug"])
-    return ranked.groupBy(key).agg(pick(F.col("n") <= most).alias("slugs"), pick(F.col("n") > most).alias("dropped"))
+    r = found.select(key, F.transform(ranked(axis), lambda x: x["slug"]).alias("r")).where(F.size("r") > 0)
+    return r.select(key, F.slice("r", 1, most).alias("slugs"), F.slice("r", F.lit(most + 1), F.greatest(F.size("r") - most, F.lit(0))).alias("dropped"))
+
+
+def assign(found: DataFrame, key: str, applicable: Column, most: int = 4) -> DataFrame:
+    """(key, industry, functions, use_cases, unresolved): all three axes of an item;
+    an axis without evidence is told in ``unresolved``, an industry tie too. Items to
+    which facets don't apply (say, of an excluded topic) have nothing."""
+    ind = ranked("industry")
+    tie = (F.size(ind) > 1) & (F.get(ind, F.lit(1))["o"] == F.get(ind, F.lit(0))["o"])
+    industry = F.when(F.size(ind) == 0, F.lit(None).cast("string")).when(tie, F.lit(SENTINEL)).otherwise(F.get(ind, F.lit(0))["slug"])
+    pick = lambda axis: F.slice(F.transform(ranked(axis), lambda x: x["slug"]), 1, most)
+    why = F.array_compact(F.array(F.when(F.size(ind) == 0, "industry: no evidence").when(tie, "industry: tie"), *[F.when(F.size(ranked(a)) == 0, f"{a}: no evidence") for a in ("function", "use_case")]))
+    on = F.coalesce(applicable, F.lit(False))
+    return found.select(key, *[F.when(on, c).alias(n) for n, c in (("industry", industry), ("functions", pick("function")), ("use_cases", pick("use_case")), ("unresolved", why))])
+
+
+def is_resolved(industry_supported: Column, functions: Column, use_cases: Column) -> Column:
+    """An industry with evidence, and a function or a use case."""
+    return F.coalesce(industry_supported, F.lit(False)) & ((F.coalesce(F.size(functions), F.lit(0)) > 0) | (F.coalesce(F.size(use_cases), F.lit(0)) > 0))
+
+
+STATES = ("unmapped_legacy_value", "not_enriched", "facet_complete", "facet_partial", "unresolved")
+
+
+def tally(states: DataFrame, column: str) -> DataFrame:
+    """(state, n) of all five states, those that nothing is in with 0; together they
+    are the records to which facets apply."""
+    counts = states.agg(F.array(*[F.struct(F.lit(s).alias("state"), F.count_if(F.col(column) == s).alias("n")) for s in STATES]).alias("x"))
+    return counts.select(F.inline("x"))
 
 
 def reporting_state(applicable: Column, enriched: Column, unmapped: Column, industry: Column, others: Column) -> Column:

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import urls
 
 
 def full_records(items: DataFrame) -> DataFrame:
-    """Accepted items as records of their owner's cell, in total order."""
-    out = items.where("accepted").select(
+    """Accepted items as records of their owner's cell; a sink sorts by :func:`order`."""
+    return items.where("accepted").select(
         urls.record_id(F.col("topic"), F.col("identity_url")).alias("record_id"),
         urls.content_id(F.col("identity_url")).alias("content_id"),
         F.lit("full").alias("record_type"),
@@ -21,7 +21,11 @@ def full_records(items: DataFrame) -> DataFrame:
         "identity_url",
         "title",
     )
-    return out.orderBy(*[F.coalesce(c, F.lit("")) for c in ("topic", "category", "record_id")])
+
+
+def order() -> list[Column]:
+    """The total order of records: topic, category and identifier, nulls first."""
+    return [F.coalesce(c, F.lit("")) for c in ("topic", "category", "record_id")]
 
 
 def cross_references(items: DataFrame) -> DataFrame:

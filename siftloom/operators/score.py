@@ -34,14 +34,20 @@ def relevance(required: Column, boost: Column, excluded: Column, has_required: C
 
 
 def quality(title: Column, summary: Column, publisher: Column, published: Column, sources: Column) -> Column:
-    """Parts for a title, a summary (half if it is shorter than 200 characters), a
-    publisher and a date, and .08 for each further source up to .24; 1 at most."""
+    """:func:`quality_of` the texts themselves."""
     there = lambda c: F.coalesce(F.trim(c) != "", F.lit(False))
+    return quality_of(there(title), F.when(there(summary), F.char_length(summary)), there(publisher), published.isNotNull(), sources)
+
+
+def quality_of(title: Column, summary_length: Column, publisher: Column, dated: Column, sources: Column) -> Column:
+    """Parts for a title, a summary (half if it is shorter than 200 characters; null
+    if there is none), a publisher and a date, and .08 for each further source up to
+    .24; 1 at most."""
     part = (
-        F.when(there(title), 0.22).otherwise(0.0)
-        + F.when(there(summary), F.when(F.char_length(summary) < 200, 0.17).otherwise(0.34)).otherwise(0.0)
-        + F.when(there(publisher), 0.22).otherwise(0.0)
-        + F.when(published.isNotNull(), 0.22).otherwise(0.0)
+        F.when(title, 0.22).otherwise(0.0)
+        + F.when(summary_length < 200, 0.17).when(summary_length >= 200, 0.34).otherwise(0.0)
+        + F.when(publisher, 0.22).otherwise(0.0)
+        + F.when(dated, 0.22).otherwise(0.0)
     )
     return rounded(F.least(part + F.least(F.lit(0.08) * F.greatest(sources - 1, F.lit(0)), F.lit(0.24)), F.lit(1.0)))
 
@@ -64,24 +70,41 @@ def composite(scores: Mapping[str, Column], weights: Mapping[str, float]) -> Col
     return rounded(F.when(weight > 0, total / weight))
 
 
+def audience(excluded: Column, developer_tool: Column) -> tuple[Column, Column]:
+    """(audience_fit, developer_only): an excluded item fits nobody here; if the
+    signal for developers' tools fires for it, developers are its only audience."""
+    return F.when(excluded, 0.0).otherwise(1.0), excluded & F.coalesce(developer_tool, F.lit(False))
+
+
+#: Reasons in the order of their gates.
+REASONS = ("developer_only_audience", "category_exclusion_applied", "insufficient_evidence", "off_topic", "below_relevance_threshold", "below_quality_threshold")
+
+
 def decide(scored: DataFrame, policy: Policy = Policy()) -> DataFrame:
     """``scored`` (relevance, quality, audience_fit, composite, excluded,
-    developer_only, title, summary) with accepted, rejection_reason and detail; the
-    first gate that fails gives the reason. Per-row thresholds in columns
-    ``min_relevance``.. go before the policy's."""
-    bar = lambda n, v: F.coalesce(F.col(n), F.lit(v)) if n in scored.columns else F.lit(v)
+    developer_only, title, summary, has_required, required_hits) with accepted,
+    rejection_reason and detail, which names the number that failed and its limit.
+    The first gate that fails decides. ``off_topic`` is for cells that have required
+    terms of which none hit. Thresholds in columns ``min_relevance``, ``min_quality``,
+    ``min_audience_fit`` and ``accept_composite`` go before the policy's."""
+    limits = {"min_relevance": policy.least_relevance, "min_quality": policy.least_quality, "min_audience_fit": policy.least_audience, "accept_composite": policy.least_composite}
+    bar = lambda n: F.coalesce(F.col(n), F.lit(limits[n])) if n in scored.columns else F.lit(limits[n])
     blank = lambda c: F.coalesce(F.trim(c) == "", F.lit(True))
-    below = lambda c, n, v: F.coalesce(F.col(c) < bar(n, v), F.lit(True))
+    four = lambda c: F.format_string("%.4f", c)
+    gates = [(c, n, F.coalesce(F.col(c) < bar(n), F.lit(True))) for c, n in (("relevance", "min_relevance"), ("quality", "min_quality"), ("audience_fit", "min_audience_fit"), ("composite", "accept_composite"))]
+    text = lambda c, n, sign: F.concat(F.lit(f"{c} "), F.coalesce(four(F.col(c)), F.lit("unknown")), F.lit(f" {sign} {n} "), four(bar(n)))
+    off = F.col("has_required") & (F.col("required_hits") == 0)
     reason = (
-        F.when(F.col("excluded") & F.col("developer_only"), "developer_only")
-        .when(F.col("excluded"), "category_exclusion")
-        .when(blank("title") & blank("summary"), "insufficient_content")
-        .when(F.col("relevance") == 0, "off_topic")
-        .when(below("relevance", "min_relevance", policy.least_relevance), "low_relevance")
-        .when(below("quality", "min_quality", policy.least_quality), "low_quality")
-        .when(below("audience_fit", "min_audience", policy.least_audience), "audience_mismatch")
-        .when(below("composite", "min_composite", policy.least_composite), "below_threshold")
+        F.when(F.col("excluded") & F.col("developer_only"), REASONS[0])
+        .when(F.col("excluded"), REASONS[1])
+        .when(blank("title") & blank("summary"), REASONS[2])
+        .when(off, REASONS[3])
+        .when(gates[0][2], REASONS[4])
+        .when(gates[1][2], REASONS[5])
+        .when(gates[2][2] | gates[3][2], REASONS[2])
     )
-    named = F.col("rejection_reason")
-    detail = F.when(named.startswith("low_") | (named == "below_threshold"), F.concat(named, F.lit(": composite "), F.format_number(F.coalesce("composite", F.lit(0.0)), 4)))
-    return scored.withColumn("rejection_reason", reason).withColumn("accepted", named.isNull()).withColumn("detail", detail)
+    detail = F.when(F.col("excluded"), "excluded by its category").when(blank("title") & blank("summary"), "no title and no summary").when(off, "none of the required terms occurs")
+    for c, n, fails in gates:
+        detail = detail.when(fails, text(c, n, "<"))
+    detail = detail.otherwise(text("composite", "accept_composite", ">="))
+    return scored.withColumns({"rejection_reason": reason, "detail": detail}).withColumn("accepted", F.col("rejection_reason").isNull())

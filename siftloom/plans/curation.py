@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import config
 from ..functions import cleaning
-from ..functions.signals import Signal, fired
+from ..functions.signals import Signal
 from ..operators import facets, records, score
-from .frames import CLASSIFIED_SQL, SCORED_SQL, SIGNALS, SIGNALS_SQL, _term_sql, classified, scored, table
+from ..operators.scan import Search, scan
+from .frames import CLASSIFIED_SQL, FACETS, RULES, SCORED_SQL, SIGNALS, SIGNALS_SQL, _term_sql, classified, judged, scanned, scored, table
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -25,17 +27,16 @@ def query(sql: str | None = None):
 
 @query(f"WITH {SIGNALS_SQL} SELECT doc_id, {', '.join(f'on_{s.name} AS {s.name}' for s in SIGNALS)} FROM sig")
 def signal_match(spark, sf_dir):
-    on = fired({"text": F.coalesce("text", F.lit(""))}, SIGNALS)
-    return table(spark, sf_dir, "documents").select("doc_id", *[c.alias(n) for n, c in on.items()])
+    return scanned(spark, sf_dir).select("doc_id", *[F.col(f"on_{s.name}").alias(s.name) for s in SIGNALS])
 
 
 _first = " ".join(f"WHEN on_{s.name} THEN '{s.name}'" for s in SIGNALS if isinstance(s, Signal))
 
 
-@query(f"WITH {CLASSIFIED_SQL} SELECT doc_id, rule_id, topic, category, array_to_string(others, ',') AS competing, len(others) > 0 AS ambiguous, CASE {_first} END AS first_signal FROM cl")
+@query(f"WITH {CLASSIFIED_SQL} SELECT doc_id, rule_id, topic, category, array_to_string(others, ',') AS competing, len(others) > 0 AS ambiguous, CASE {_first} END AS first_signal, rule_id = 'fallback' AS undecided, rule_id <> 'fallback' AND NOT (topic IS NOT DISTINCT FROM lang AND category IS NOT DISTINCT FROM source) AS differs FROM cl")
 def rule_classify(spark, sf_dir):
     c = classified(spark, sf_dir)
-    return c.select("doc_id", "rule_id", "topic", "category", F.array_join(F.transform("competing", lambda x: x["rule_id"]), ",").alias("competing"), "ambiguous", F.get("evidence", F.lit(0))["signal"].alias("first_signal"))
+    return c.select("doc_id", "rule_id", "topic", "category", F.array_join(F.transform("competing", lambda x: x["rule_id"]), ",").alias("competing"), "ambiguous", F.get("evidence", F.lit(0))["signal"].alias("first_signal"), F.col("rationale").startswith("no rule fired").alias("undecided"), F.col("differs_from_discovery").alias("differs"))
 
 
 @query(f"WITH {SCORED_SQL} SELECT doc_id, relevance, quality, audience_fit, freshness, composite FROM scored")
@@ -43,9 +44,9 @@ def score_composite(spark, sf_dir):
     return scored(spark, sf_dir).select("doc_id", "relevance", "quality", "audience_fit", "freshness", "composite")
 
 
-@query(f"WITH {SCORED_SQL} SELECT doc_id, rejection_reason IS NULL AS accepted, rejection_reason FROM scored")
+@query(f"WITH {SCORED_SQL} SELECT doc_id, rejection_reason IS NULL AS accepted, rejection_reason, detail FROM scored")
 def decide_gate(spark, sf_dir):
-    return scored(spark, sf_dir).select("doc_id", "accepted", "rejection_reason")
+    return scored(spark, sf_dir).select("doc_id", "accepted", "rejection_reason", "detail")
 
 
 @query(f"WITH {SCORED_SQL} SELECT rejection_reason, count(*) AS n, min(composite) AS lowest FROM scored WHERE rejection_reason IS NOT NULL GROUP BY 1")
@@ -59,22 +60,12 @@ def freshness_decay(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", f.alias("freshness"))
 
 
-VOCABULARY = [
-    ("industry", "education", ("the", "und")),
-    ("industry", "finance", ("que", "with", "licensed")),
-    ("industry", "health", ("nicht", "des")),
-    ("function", "legal", ("copyright", "licensed under", "rights")),
-    ("function", "sales", ("tion*", "and")),
-    ("function", "support", ("for", "dans")),
-    ("function", "research", ("of", "der")),
-    ("function", "design", ("in", "en")),
-    ("function", "writing", ("this", "los")),
-]
+VOCABULARY = [(a, s, t) for a, s, t in config.vocabulary(FACETS, active=True) if t]
 
 
 def _facet_evidence(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "source")
-    return facets.evidence(d, "doc_id", {"text": "text", "publisher": "source"}, VOCABULARY, {("industry", "*"): {"publisher"}, ("function", "*"): {"publisher"}})
+    return facets.evidence(d, "doc_id", {"text": "text", "publisher": "source"}, VOCABULARY, config.barred(FACETS))
 
 
 _FOUND = (
@@ -101,26 +92,54 @@ def facet_functions(spark, sf_dir):
     return s.select("doc_id", F.array_join("slugs", ",").alias("slugs"), F.array_join("dropped", ",").alias("dropped"))
 
 
-@query(
-    f"""WITH {_FOUND}, i AS (SELECT doc_id, max(n) AS m, count(*) FILTER (n = mx) AS tops FROM (SELECT *, max(n) OVER (PARTITION BY doc_id) AS mx FROM ev WHERE axis = 'industry') GROUP BY doc_id),
+_STATE = f"""{_FOUND}, i AS (SELECT doc_id, max(n) AS m, count(*) FILTER (n = mx) AS tops FROM (SELECT *, max(n) OVER (PARTITION BY doc_id) AS mx FROM ev WHERE axis = 'industry') GROUP BY doc_id),
 f AS (SELECT doc_id, count(*) AS fs FROM ev WHERE axis = 'function' GROUP BY doc_id),
-s AS (SELECT CASE WHEN lang = 'es' THEN NULL WHEN doc_id % 17 = 0 THEN 'unmapped_legacy_value' WHEN doc_id % 13 = 0 THEN 'not_enriched' WHEN coalesce(tops, 0) = 1 AND coalesce(fs, 0) > 0 THEN 'facet_complete'
-  WHEN coalesce(tops, 0) = 1 OR coalesce(fs, 0) > 0 THEN 'facet_partial' ELSE 'unresolved' END AS state FROM documents LEFT JOIN i USING (doc_id) LEFT JOIN f USING (doc_id))
-SELECT state, count(*) AS n FROM s GROUP BY state"""
-)
+s AS (SELECT documents.doc_id, CASE WHEN lang = 'es' THEN NULL WHEN documents.doc_id % 17 = 0 THEN 'unmapped_legacy_value' WHEN documents.doc_id % 13 = 0 THEN 'not_enriched' WHEN coalesce(tops, 0) = 1 AND coalesce(fs, 0) > 0 THEN 'facet_complete'
+  WHEN coalesce(tops, 0) = 1 OR coalesce(fs, 0) > 0 THEN 'facet_partial' ELSE 'unresolved' END AS state FROM documents LEFT JOIN i USING (doc_id) LEFT JOIN f USING (doc_id))"""
+
+
+def _states(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", F.coalesce("text", F.lit("")).alias("text"))
+    lists = facets.term_lists(VOCABULARY, ["text"])
+    ev = scan(d, Search({"text": "text"}, (), lists), ["doc_id", "lang"]).withColumn("found", facets.found_array(list(lists)))
+    ind, fun = facets.ranked("industry"), facets.ranked("function")
+    one = (F.size(ind) > 0) & ~F.coalesce(F.get(ind, F.lit(1))["o"] == F.get(ind, F.lit(0))["o"], F.lit(False))
+    return ev.select("doc_id", facets.reporting_state(F.coalesce(F.col("lang") != "es", F.lit(True)), F.col("doc_id") % 13 != 0, F.col("doc_id") % 17 == 0, one, F.size(fun)).alias("state"))
+
+
+@query(f"WITH {_STATE} SELECT doc_id, state FROM s")
+def reporting_state(spark, sf_dir):
+    return _states(spark, sf_dir)
+
+
+@query(f"WITH {_STATE} SELECT v.state, count(s.state) AS n FROM (VALUES {', '.join(f"('{x}')" for x in facets.STATES)}) v(state) LEFT JOIN s USING (state) GROUP BY 1")
 def reporting_states(spark, sf_dir):
-    ev = _facet_evidence(spark, sf_dir)
-    one = facets.single(ev, "doc_id", "industry").where("not tie").select("doc_id", F.lit(True).alias("industry"))
-    many = facets.several(ev, "doc_id", "function").select("doc_id", F.size("slugs").alias("functions"))
-    d = table(spark, sf_dir, "documents").join(one, "doc_id", "left").join(many, "doc_id", "left")
-    state = facets.reporting_state(F.coalesce(F.col("lang") != "es", F.lit(True)), F.col("doc_id") % 13 != 0, F.col("doc_id") % 17 == 0, F.coalesce("industry", F.lit(False)), F.coalesce("functions", F.lit(0)))
-    return d.groupBy(state.alias("state")).agg(F.count("*").alias("n"))
+    return facets.tally(_states(spark, sf_dir), "state")
+
+
+_axis = "SELECT doc_id, list(slug ORDER BY n DESC, slug) AS slugs, count(*) FILTER (n = mx) AS tops FROM (SELECT *, max(n) OVER (PARTITION BY doc_id) AS mx FROM ev WHERE axis = '{}') GROUP BY doc_id"
+
+
+@query(
+    f"""WITH {_FOUND}, i AS ({_axis.format('industry')}), f AS ({_axis.format('function')}), u AS ({_axis.format('use_case')})
+SELECT d.doc_id, CASE WHEN d.lang = 'es' THEN NULL WHEN i.tops > 1 THEN 'cross-industry' ELSE i.slugs[1] END AS industry, CASE WHEN d.lang = 'es' THEN NULL ELSE coalesce(array_to_string(f.slugs[1:4], ','), '') END AS functions,
+  CASE WHEN d.lang = 'es' THEN NULL ELSE coalesce(array_to_string(u.slugs[1:4], ','), '') END AS use_cases,
+  CASE WHEN d.lang = 'es' THEN NULL ELSE concat_ws('; ', CASE WHEN i.doc_id IS NULL THEN 'industry: no evidence' WHEN i.tops > 1 THEN 'industry: tie' END, CASE WHEN f.doc_id IS NULL THEN 'function: no evidence' END, CASE WHEN u.doc_id IS NULL THEN 'use_case: no evidence' END) END AS unresolved,
+  d.lang <> 'es' AND coalesce(i.tops, 0) = 1 AND (f.doc_id IS NOT NULL OR u.doc_id IS NOT NULL) AS resolved
+FROM documents d LEFT JOIN i USING (doc_id) LEFT JOIN f USING (doc_id) LEFT JOIN u USING (doc_id)"""
+)
+def facet_assign(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", F.coalesce("text", F.lit("")).alias("text"))
+    lists = facets.term_lists(VOCABULARY, ["text"])
+    found = scan(d, Search({"text": "text"}, (), lists), ["doc_id", "lang"]).withColumn("found", facets.found_array(list(lists)))
+    a = facets.assign(found, "doc_id", F.col("lang") != "es")
+    known = F.col("industry").isNotNull() & (F.col("industry") != facets.SENTINEL)
+    return a.select("doc_id", "industry", *[F.array_join(c, ",").alias(c) for c in ("functions", "use_cases")], F.array_join("unresolved", "; ").alias("unresolved"), facets.is_resolved(known, F.col("functions"), F.col("use_cases")).alias("resolved"))
 
 
 def _items(spark, sf_dir):
-    c = classified(spark, sf_dir).select("doc_id", "topic", "category", "competing")
-    s = scored(spark, sf_dir).select("doc_id", "accepted")
-    return c.join(s, "doc_id").withColumn("identity_url", F.concat(F.lit("https://docs.example.org/"), F.col("doc_id").cast("string"))).withColumn("title", F.col("doc_id").cast("string"))
+    d = judged(spark, sf_dir).select("doc_id", "topic", "category", "competing", "accepted")
+    return d.withColumns({"identity_url": F.concat(F.lit("https://docs.example.org/"), F.col("doc_id").cast("string")), "title": F.col("doc_id").cast("string")})
 
 
 @query(
@@ -131,7 +150,7 @@ def full_records(spark, sf_dir):
     return records.full_records(_items(spark, sf_dir))
 
 
-_rules = ", ".join(f"('{r}', '{t}', '{c}')" for r, t, c in (("licensed-english", "rights", "english"), ("contact", "privacy", "contact"), ("german", "europe", "german"), ("romance", "europe", "romance"), ("things", "english", "things"), ("english", "english", "plain")))
+_rules = ", ".join(f"('{r.rule_id}', '{r.topic}', '{r.category}')" for r in RULES)
 
 
 @query(

@@ -6,10 +6,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import config
 from ..functions import urls
-from ..functions.signals import Composite, Rule, Signal
+from ..functions.signals import Composite, Signal
 from ..operators import dedupe, score
-from ..operators.classify import classify
+from ..operators.classify import apply_rules
+from ..operators.scan import Search, TermList, scan
 from ..runtime import prepare
 
 
@@ -70,25 +72,8 @@ def observed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe.observations(deliveries(spark, sf_dir), ["title", "topic", "category", "role", "role_rank", "canonical_url"], ["candidate_key"])
 
 
-# -- classification of documents ---------------------------------------------------
-
-SIGNALS = (
-    Signal("licence", keywords=("licensed under", "copyright", "all rights reserved", "released under")),
-    Signal("contact", patterns=(r"[A-Za-z0-9._]+@[A-Za-z0-9.]+", r"\+?[0-9]{3}[ -][0-9]{3}[ -][0-9]{4}"), least=1),
-    Signal("english", keywords=("the", "and", "with", "that"), least=3),
-    Signal("german", keywords=("und", "der", "nicht"), least=2),
-    Signal("romance", keywords=("que", "des", "los", "dans"), least=1),
-    Signal("thing", keywords=("thing*", "tion*")),
-    Composite("english_licence", ("english", "licence")),
-)
-RULES = (
-    Rule("licensed-english", 1, "rights", "english", ("english_licence",)),
-    Rule("contact", 2, "privacy", "contact", ("contact",)),
-    Rule("german", 3, "europe", "german", ("german",), ("romance",)),
-    Rule("romance", 4, "europe", "romance", ("romance",)),
-    Rule("things", 5, "english", "things", ("english", "thing")),
-    Rule("english", 6, "english", "plain", ("english",), ("german",)),
-)
+CURATION, FACETS = config.load("curation.json"), config.load("facets.json")
+SIGNALS, RULES = config.signals(CURATION), config.rules(CURATION)
 
 
 def _term_sql(term: str) -> str:
@@ -119,40 +104,54 @@ cl AS (SELECT * EXCLUDE (fired), CASE WHEN len(fired) = 0 THEN 'fallback' ELSE f
 )
 
 
-def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").withColumn("contexts", F.array(F.struct(F.col("lang").alias("topic"), F.col("source").alias("category"))))
-    return classify(d, {"text": "text"}, SIGNALS, RULES, "contexts")
-
-
 #: As if all rows were judged at this moment.
 AS_OF = "2024-03-01 00:00:00"
-REQUIRED, BOOST, EXCLUDED = ("the", "que", "und"), ("tion*", "licensed under", "with"), ("worthless",)
+REQUIRED, BOOST, EXCLUDED = (tuple(CURATION["relevance"][n]) for n in ("require_any", "boost", "exclude"))
+
+
+def scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without their texts: flags of the signals, counts of the relevance
+    terms, first hits, and what the scores need to know of a text. One pass."""
+    d = table(spark, sf_dir, "documents")
+    title, text = F.get(F.split("text", "\n", 2), F.lit(0)), F.coalesce("text", F.lit(""))
+    d = d.select(
+        "doc_id", "lang", "source", text.alias("text"),
+        F.substring(title, 1, 200).alias("title"),
+        F.coalesce(F.trim("text") == "", F.lit(True)).alias("blank"),
+        (F.trim(title) != "").alias("has_title"),
+        F.char_length(text).alias("length"),
+        F.array(F.struct(F.col("lang").alias("topic"), F.col("source").alias("category"))).alias("contexts"),
+    )
+    terms = {"required": TermList(REQUIRED), "boost": TermList(BOOST), "excluded": TermList(EXCLUDED)}
+    return scan(d, Search({"text": "text"}, SIGNALS, terms), [c for c in d.columns if c != "text"])
 
 
-def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with all scores; the date follows from the id."""
-    from ..functions.signals import hits
-
-    d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("label")), "doc_id", "left")
-    text = {"text": F.coalesce("text", F.lit(""))}
-    req, boost, out = hits(text, REQUIRED), hits(text, BOOST), hits(text, EXCLUDED)
-    d = d.withColumns({"_r": req, "_b": boost, "_x": out, "published": F.when(F.col("doc_id") % 5 != 0, F.timestamp_seconds(F.lit(1704067200) + (F.col("doc_id") % 90) * 43200))})
-    title = F.get(F.split("text", "\n"), F.lit(0))
+def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return apply_rules(scanned(spark, sf_dir), RULES, "contexts")
+
+
+def judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents classified, scored and decided on; the date follows from the id."""
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    d = classified(spark, sf_dir).join(labels, "doc_id", "left")
+    p = config.policy(CURATION)
+    published = F.when(F.col("doc_id") % 5 != 0, F.timestamp_seconds(F.lit(1704067200) + (F.col("doc_id") % 90) * 43200))
+    d = d.withColumns({"excluded": F.col("n_excluded") > 0, "required_hits": F.col("n_required"), "has_required": F.lit(bool(REQUIRED)), "published": published, "summary": F.when(~F.col("blank"), "text")})
+    fit, developers = score.audience(F.col("excluded"), F.col("toxic") == 1)
+    d = d.withColumns({"audience_fit": fit, "developer_only": developers})
     d = d.withColumns(
         {
-            "title": title,
-            "summary": F.col("text"),
-            "excluded": F.col("_x") > 0,
-            "developer_only": F.coalesce(F.col("toxic") == 1, F.lit(False)),
-            "relevance": score.relevance(F.col("_r"), F.col("_b"), F.col("_x"), F.lit(True), F.lit(True)),
-            "quality": score.quality(title, F.col("text"), F.col("source"), F.col("published"), F.col("doc_id") % 4 + 1),
-            "freshness": score.freshness(F.col("published"), F.lit(AS_OF).cast("timestamp")),
+            "relevance": score.relevance(F.col("n_required"), F.col("n_boost"), F.col("n_excluded"), F.lit(bool(REQUIRED)), F.lit(bool(REQUIRED or BOOST))),
+            "quality": score.quality_of(F.col("has_title"), F.when(~F.col("blank"), F.col("length")), F.coalesce(F.trim("source") != "", F.lit(False)), F.col("published").isNotNull(), F.col("doc_id") % 4 + 1),
+            "freshness": score.freshness(F.col("published"), F.lit(AS_OF).cast("timestamp"), p.half_life_days),
         }
     )
-    d = d.withColumn("audience_fit", F.when(F.col("excluded"), 0.0).otherwise(1.0))
-    p = score.Policy()
     d = d.withColumn("composite", score.composite({k: F.col(k) for k in p.weights}, p.weights))
-    return score.decide(d, p).select("doc_id", "lang", "source", "published", "relevance", "quality", "audience_fit", "freshness", "composite", "accepted", "rejection_reason")
+    return score.decide(d, p)
+
+
+def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(spark, sf_dir).select("doc_id", "lang", "source", "published", "relevance", "quality", "audience_fit", "freshness", "composite", "accepted", "rejection_reason", "detail")
 
 
 def _sum(terms: tuple[str, ...]) -> str:
@@ -169,5 +168,9 @@ d1 AS (SELECT *, CASE WHEN x > 0 OR r = 0 THEN 0.0::DOUBLE ELSE round(0.68::DOUB
   CASE WHEN x > 0 THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS audience_fit,
   CASE WHEN published IS NOT NULL THEN round(pow(0.5::DOUBLE, greatest((epoch(TIMESTAMP '{AS_OF}') - epoch(published)) / 86400.0::DOUBLE, 0.0::DOUBLE) / 90.0::DOUBLE), 4) END AS freshness FROM d0),
 d2 AS (SELECT *, round((((0.40::DOUBLE * relevance + 0.25::DOUBLE * quality) + 0.20::DOUBLE * audience_fit) + coalesce(0.15::DOUBLE * freshness, 0)) / CASE WHEN freshness IS NULL THEN 0.85::DOUBLE ELSE 1.0::DOUBLE END, 4) AS composite FROM d1),
-scored AS (SELECT *, CASE WHEN x > 0 AND toxic = 1 THEN 'developer_only' WHEN x > 0 THEN 'category_exclusion' WHEN trim(text) = '' THEN 'insufficient_content' WHEN relevance = 0 THEN 'off_topic'
-  WHEN relevance < 0.35::DOUBLE THEN 'low_relevance' WHEN quality < 0.30::DOUBLE THEN 'low_quality' WHEN audience_fit < 0.20::DOUBLE THEN 'audience_mismatch' WHEN composite < 0.40::DOUBLE THEN 'below_threshold' END AS rejection_reason FROM d2)"""
+scored AS (SELECT *, CASE WHEN x > 0 AND toxic = 1 THEN 'developer_only_audience' WHEN x > 0 THEN 'category_exclusion_applied' WHEN trim(text) = '' THEN 'insufficient_evidence' WHEN r = 0 THEN 'off_topic'
+  WHEN relevance < 0.35::DOUBLE THEN 'below_relevance_threshold' WHEN quality < 0.30::DOUBLE THEN 'below_quality_threshold' WHEN audience_fit < 0.20::DOUBLE OR composite < 0.40::DOUBLE THEN 'insufficient_evidence' END AS rejection_reason,
+  CASE WHEN x > 0 THEN 'excluded by its category' WHEN trim(text) = '' THEN 'no title and no summary' WHEN r = 0 THEN 'none of the required terms occurs'
+  WHEN relevance < 0.35::DOUBLE THEN printf('relevance %.4f < min_relevance 0.3500', relevance) WHEN quality < 0.30::DOUBLE THEN printf('quality %.4f < min_quality 0.3000', quality)
+  WHEN audience_fit < 0.20::DOUBLE THEN printf('audience_fit %.4f < min_audience_fit 0.2000', audience_fit) WHEN composite < 0.40::DOUBLE THEN printf('composite %.4f < accept_composite 0.4000', composite)
+  ELSE printf('composite %.4f >= accept_composite 0.4000', composite) END AS detail FROM d2)"""
