@@ -29,26 +29,42 @@ def against_targets(vocabulary: DataFrame, counts: DataFrame) -> DataFrame:
     return vocabulary.join(counts, ["axis", "slug"], "left").select("axis", "slug", "tier", "target", seen.alias("observed"), F.greatest(F.col("target") - seen, F.lit(0).cast("long")).alias("gap"))
 
 
-WEIGHTS = {"gap": 0.35, "tier": 0.2, "yield": 0.15, "duplicate": 0.1, "rejection": 0.1, "source": 0.05, "budget": 0.05}
+#: Weights of the factors; the two rates are penalties.
+WEIGHTS = {"remaining_gap": 0.30, "configured_priority": 0.20, "acceptance_yield": 0.15, "duplicate_rate": -0.10, "quality_rejection_rate": -0.10, "credible_source_available": 0.10, "remaining_budget": 0.05}
+#: Recorded and reported, never sought.
+NEVER = ("cross-industry", "other-unclear")
+_TIERS = {"priority": 1.0, "standard": 0.5}
 
 
-def rank_gaps(gaps: DataFrame, stats: DataFrame, budget: float, never: tuple[str, ...] = (), weights: Mapping[str, float] = WEIGHTS) -> DataFrame:
-    """Open gaps in order of their score: weighted gap share, tier, yield, source and
-    budget, less duplicate and rejection rates. Record-only tiers, ``never`` slugs
-    and closed gaps are left out. ``no_credible_source`` marks gaps without one."""
+def rank_gaps(gaps: DataFrame, stats: DataFrame, budget: float, never: tuple[str, ...] = NEVER, weights: Mapping[str, float] = WEIGHTS) -> DataFrame:
+    """(axis, slug, gap, factors, score, lane_id, not_opened_reason) of open gaps; the
+    order is that of :func:`best_first`. Record-only tiers, ``never`` slugs and closed
+    gaps are left out altogether, gaps without a credible source are marked."""
     x = gaps.where((F.col("gap") > 0) & (F.col("tier") != "record_only") & ~F.col("slug").isin(*never)).join(stats, ["axis", "slug"], "left")
-    tier = F.when(F.col("tier") == "priority", 1.0).when(F.col("tier") == "standard", 0.5).otherwise(0.0)
+    tier = F.lit(0.0)
+    for name, w in _TIERS.items():
+        tier = F.when(F.col("tier") == name, w).otherwise(tier)
     source = F.coalesce("has_source", F.lit(False))
-    score = (
-        weights["gap"] * F.least(F.lit(1.0), F.col("gap") / F.greatest(F.col("target"), F.lit(1)))
-        + weights["tier"] * tier
-        + weights["yield"] * F.coalesce("acceptance_yield", F.lit(0.5))
-        - weights["duplicate"] * F.coalesce("duplicate_rate", F.lit(0.0))
-        - weights["rejection"] * F.coalesce("rejection_rate", F.lit(0.0))
-        + weights["source"] * source.cast("double")
-        + weights["budget"] * F.lit(budget)
-    )
-    return x.select("axis", "slug", "gap", F.round(score, 6).alias("score"), (~source).alias("no_credible_source")).orderBy(F.desc("score"), "axis", "slug")
+    factors = {
+        "remaining_gap": F.least(F.lit(1.0), F.col("gap") / F.greatest(F.col("target"), F.lit(1))),
+        "configured_priority": tier,
+        "acceptance_yield": F.coalesce("acceptance_yield", F.lit(0.5)),
+        "duplicate_rate": F.coalesce("duplicate_rate", F.lit(0.0)),
+        "quality_rejection_rate": F.coalesce("quality_rejection_rate", F.lit(0.0)),
+        "credible_source_available": source.cast("double"),
+        "remaining_budget": F.lit(float(budget)),
+    }
+    score = F.lit(0.0)
+    for name, f in factors.items():
+        score = score + F.lit(weights.get(name, 0.0)) * f
+    return x.select(
+        "axis", "slug", "gap", F.struct(*[f.alias(n) for n, f in factors.items()]).alias("factors"), F.round(score, 6).alias("score"),
+        F.concat(F.lit("gap__"), F.col("axis"), F.lit("__"), F.col("slug")).alias("lane_id"), F.when(~source, "no_credible_source").alias("not_opened_reason"),
+    )
+
+
+def best_first() -> list[Column]:
+    return [F.desc("score"), F.asc("axis"), F.asc("slug")]
 
 
 def histogram(values: DataFrame, column: str, edges: list[float]) -> DataFrame:
@@ -77,10 +93,10 @@ def kth_largest(values: DataFrame, by: str, column: str, k: int) -> DataFrame:
 
 
 def shares(rows: DataFrame, by: str) -> DataFrame:
-    """(value, n, share_pct) with whole percents rounded down; largest first."""
+    """(value, n, share_pct) with whole percents rounded down."""
     n = rows.groupBy(F.col(by).alias("value")).agg(F.count("*").alias("n"))
     total = n.agg(F.sum("n").alias("total"))
-    return n.join(F.broadcast(total)).select("value", "n", F.floor(F.col("n") * 100 / F.col("total")).alias("share_pct")).orderBy(F.desc("n"), "value")
+    return n.join(F.broadcast(total)).select("value", "n", F.floor(F.col("n") * 100 / F.col("total")).alias("share_pct"))
 
 
 def is_stale(last_run: Column, due: Column, as_of: Column, refresh_days: int, active: Column) -> Column:

@@ -42,16 +42,13 @@ def groups(obs: DataFrame, key: str, display: list[str]) -> DataFrame:
     non-blank value of each ``display`` column in the total order, and the first
     observation's address. Rows with a null key aren't candidates."""
     order = F.struct(*ORDER)
-    return (
-        obs.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(
-            F.count("*").alias("observation_count"),
-            F.array_sort(F.collect_set("source_id")).alias("source_ids"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("lane_ids")))).alias("lane_ids"),
-            F.min_by("target_url", order).alias("first_url"),
-            *[F.min_by(c, F.when(_present(c), order)).alias(c) for c in display],
-        )
+    own = obs.where(F.col(key).isNotNull())
+    return own.groupBy(key).agg(
+        F.count("*").alias("observation_count"),
+        F.array_sort(F.collect_set("source_id")).alias("source_ids"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("lane_ids")))).alias("lane_ids"),
+        F.min_by("target_url", order).alias("first_url"),
+        *[F.min_by(c, F.when(_present(c), order)).alias(c) for c in display],
     )
 
 
@@ -81,9 +78,10 @@ def sightings(obs: DataFrame, key: str, by: list[str]) -> DataFrame:
     return obs.groupBy(*by).agg(n.alias("observations"), unique.alias("unique_candidates"), (n - unique).alias("repeats"), F.count_if(~usable).alias("unusable"))
 
 
-def extraction_issues(items: DataFrame, fields: list[str], date: str) -> DataFrame:
+def extraction_issues(items: DataFrame, fields: list[str], date: str, variants: dict[str, str] | None = None) -> DataFrame:
     """``items`` with ``issues``: sorted (field, kind) of what is missing, says
-    unknown, or is a date that can't be read."""
+    unknown, is a date that can't be read, or has conflicting values: ``variants``
+    names, for a field, the array column of the values that its sources gave."""
     from ..functions.cleaning import utc_time
 
     found = []
@@ -93,4 +91,7 @@ def extraction_issues(items: DataFrame, fields: list[str], date: str) -> DataFra
         if f == date:
             kind = kind.when(utc_time(F.col(f)).isNull(), "unparseable_date")
         found.append(F.when(kind.isNotNull(), F.struct(F.lit(f).alias("field"), kind.alias("kind"))))
+    for f, c in (variants or {}).items():
+        several = F.size(F.array_distinct(F.filter(c, lambda v: F.trim(v) != ""))) > 1
+        found.append(F.when(several, F.struct(F.lit(f).alias("field"), F.lit("conflicting_values").alias("kind"))))
     return items.withColumn("issues", F.array_sort(F.array_compact(F.array(*found))))

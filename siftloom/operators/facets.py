@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from .scan import Search, TermList, scan
 
-SENTINEL = "cross-industry"
+#: Stands for what can't be told; a state, never a match.
+SENTINEL = "other-unclear"
 
 
 def term_lists(vocabulary: Sequence[tuple[str, str, tuple[str, ...]]], fields: Sequence[str], barred: Mapping[tuple[str, str], set[str]] = {}) -> dict[str, TermList]:
@@ -65,19 +66,27 @@ def several(found: DataFrame, key: str, axis: str, most: int = 4) -> DataFrame:
 
 def assign(found: DataFrame, key: str, applicable: Column, most: int = 4) -> DataFrame:
     """(key, industry, functions, use_cases, unresolved): all three axes of an item;
-    an axis without evidence is told in ``unresolved``, an industry tie too. Items to
-    which facets don't apply (say, of an excluded topic) have nothing."""
+    ``unresolved`` tells, sorted, of axes without evidence, of an industry tie and of
+    values beyond ``most``. Items to which facets don't apply (say, of an excluded
+    topic) have nothing."""
     ind = ranked("industry")
     tie = (F.size(ind) > 1) & (F.get(ind, F.lit(1))["o"] == F.get(ind, F.lit(0))["o"])
     industry = F.when(F.size(ind) == 0, F.lit(None).cast("string")).when(tie, F.lit(SENTINEL)).otherwise(F.get(ind, F.lit(0))["slug"])
     pick = lambda axis: F.slice(F.transform(ranked(axis), lambda x: x["slug"]), 1, most)
-    why = F.array_compact(F.array(F.when(F.size(ind) == 0, "industry: no evidence").when(tie, "industry: tie"), *[F.when(F.size(ranked(a)) == 0, f"{a}: no evidence") for a in ("function", "use_case")]))
+    names = lambda r: F.array_join(F.transform(r, lambda x: x["slug"]), ", ")
+    tied = F.filter(ind, lambda x: x["o"] == F.get(ind, F.lit(0))["o"])
+    told = [F.when(F.size(ind) == 0, F.lit("industry: insufficient_evidence")).when(tie, F.concat(F.lit(f"industry: {SENTINEL}: equally supported: "), names(tied)))]
+    for a in ("function", "use_case"):
+        r = ranked(a)
+        rest = F.slice(r, F.lit(most + 1), F.greatest(F.size(r) - most, F.lit(0)))
+        told.append(F.when(F.size(r) == 0, F.lit(f"{a}: insufficient_evidence")).when(F.size(rest) > 0, F.concat(F.lit(f"{a}: {SENTINEL}: dropped: "), names(rest))))
+    why = F.array_sort(F.array_compact(F.array(*told)))
     on = F.coalesce(applicable, F.lit(False))
     return found.select(key, *[F.when(on, c).alias(n) for n, c in (("industry", industry), ("functions", pick("function")), ("use_cases", pick("use_case")), ("unresolved", why))])
 
 
 def is_resolved(industry_supported: Column, functions: Column, use_cases: Column) -> Column:
-    """An industry with evidence, and a function or a use case."""
+    """A known industry, not the sentinel, and a function or a use case."""
     return F.coalesce(industry_supported, F.lit(False)) & ((F.coalesce(F.size(functions), F.lit(0)) > 0) | (F.coalesce(F.size(use_cases), F.lit(0)) > 0))
 
 

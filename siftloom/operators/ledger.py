@@ -16,11 +16,12 @@ def merge_observations(existing: DataFrame, observed: DataFrame, key: Sequence[s
 
     First seen never moves, each observation counts once, the newest known value of
     a ``latest`` column wins. An outcome goes from pending to its first terminal
-    value and stays; ``outcome_conflict`` tells that another terminal value came.
+    value and stays; ``outcome_conflict`` tells that another terminal value came, now
+    or, if the ledger has the column, before.
     """
     zero = F.lit(0)
-    old = existing.select(*key, F.lit(0).alias("side"), F.col("last_seen_at").alias("at"), F.col("first_seen_at").alias("a"), F.col("last_seen_at").alias("z"), F.col("seen_count").cast("long").alias("n"), "outcome", *latest)
-    new = observed.select(*key, F.lit(1).alias("side"), F.col("seen_at").alias("at"), F.col("seen_at").alias("a"), F.col("seen_at").alias("z"), F.lit(1).cast("long").alias("n"), F.coalesce("outcome", F.lit(PENDING)).alias("outcome"), *latest)
+    old = existing.select(*key, F.lit(0).alias("side"), F.col("last_seen_at").alias("at"), F.col("first_seen_at").alias("a"), F.col("last_seen_at").alias("z"), F.col("seen_count").cast("long").alias("n"), "outcome", (F.coalesce("outcome_conflict", F.lit(False)) if "outcome_conflict" in existing.columns else F.lit(False)).alias("was"), *latest)
+    new = observed.select(*key, F.lit(1).alias("side"), F.col("seen_at").alias("at"), F.col("seen_at").alias("a"), F.col("seen_at").alias("z"), F.lit(1).cast("long").alias("n"), F.coalesce("outcome", F.lit(PENDING)).alias("outcome"), F.lit(False).alias("was"), *latest)
     terminal = F.when(F.col("outcome") != PENDING, F.col("outcome"))
     seq = F.struct("side", "at", "outcome")
     known = [F.max_by(c, F.when(F.col(c).isNotNull(), F.struct("side", "at", F.col(c).cast("string")))).alias(c) for c in latest]
@@ -32,7 +33,7 @@ def merge_observations(existing: DataFrame, observed: DataFrame, key: Sequence[s
             F.max("z").alias("last_seen_at"),
             F.sum("n").alias("seen_count"),
             F.coalesce(F.min_by(terminal, F.when(terminal.isNotNull(), seq)), F.lit(PENDING)).alias("outcome"),
-            (F.coalesce(F.min(terminal) != F.max(terminal), F.lit(False))).alias("outcome_conflict"),
+            (F.bool_or("was") | F.coalesce(F.min(terminal) != F.max(terminal), F.lit(False))).alias("outcome_conflict"),
             *known,
         )
     )
@@ -40,14 +41,17 @@ def merge_observations(existing: DataFrame, observed: DataFrame, key: Sequence[s
 
 def merge_shards(shards: DataFrame, key: str) -> DataFrame:
     """Union of ledger shards: largest count, earliest first, latest last time, flags
-    or-ed, id sets united. A missing flag is false."""
-    return shards.groupBy(key).agg(
+    or-ed, id sets united. A missing flag is false. Ids are told apart one by one
+    before they are gathered, so that only each key's set stands in a row."""
+    rest = shards.groupBy(key).agg(
         F.max("crawl_count").alias("crawl_count"),
         F.min("first_crawled_at").alias("first_crawled_at"),
         F.max("last_crawled_at").alias("last_crawled_at"),
         F.bool_or(F.coalesce("extracted", F.lit(False))).alias("extracted"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("case_ids")))).alias("case_ids"),
     )
+    ids = shards.select(key, F.explode("case_ids").alias("_i")).groupBy(key).agg(F.array_sort(F.collect_set("_i")).alias("case_ids"))
+    none = F.array().cast(shards.schema["case_ids"].dataType)
+    return rest.join(ids, key, "left").withColumn("case_ids", F.coalesce("case_ids", none))
 
 
 def append_new(ledger: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
@@ -73,12 +77,10 @@ def unseen(items: DataFrame, ledger: DataFrame, key: str) -> DataFrame:
 
 
 def rejections(verdicts: DataFrame) -> DataFrame:
-    """Log of rejected items in order of reason and address, each with its first source."""
-    return (
-        verdicts.where(~F.col("accepted"))
-        .select("identity_url", F.get(F.array_sort("source_ids"), F.lit(0)).alias("source_id"), "rejection_reason", "composite")
-        .orderBy("rejection_reason", "identity_url")
-    )
+    """Rejected items, each with its first source; a sink sorts them by reason and
+    address."""
+    first = F.get(F.array_sort("source_ids"), F.lit(0))
+    return verdicts.where(~F.col("accepted")).select("identity_url", first.alias("source_id"), "rejection_reason", "composite")
 
 
 def link_history(checks: DataFrame, key: str) -> DataFrame:

@@ -60,18 +60,48 @@ def redirect_facts(hops: DataFrame, most: int = 3) -> DataFrame:
     return state.select("url", "final_url", "hops", "permanent", "loop", (F.col("hops") > most).alias("too_long"))
 
 
-def access_status(status: Column, error: Column) -> Column:
-    """What a fetch says about a page."""
+#: Failure type -> (reason, class, access status). A client error's access status
+#: follows from its HTTP status.
+FAILURES = {
+    "robots_denied": ("robots_denied", "infrastructure_error", "robots_denied"),
+    "http_timeout": ("http_timeout", "infrastructure_error", "timeout"),
+    "dns_failure": ("dns_failure", "infrastructure_error", "unreachable"),
+    "http_4xx": ("http_4xx", "infrastructure_error", None),
+    "http_5xx": ("http_5xx", "infrastructure_error", "server_error"),
+    "lease_timeout": ("lease_timeout", "infrastructure_error", "unreachable"),
+    "response_too_large": ("response_too_large", "adapter_error", "unreachable"),
+    "unexpected_content_type": ("unexpected_content_type", "adapter_error", "unreachable"),
+    "empty_response": ("empty_response", "adapter_error", "unreachable"),
+    "http_error": ("http_5xx", "infrastructure_error", "unreachable"),
+    "budget_exhausted": ("budget_exhausted", "infrastructure_error", "not_checked"),
+    "internal_fetch_error": ("adapter_error", "adapter_error", "unreachable"),
+}
+CLIENT_STATUS = {401: "auth_required", 402: "paywalled", 403: "auth_required", 404: "not_found", 410: "gone"}
+
+
+def _looked_up(key: Column, table: dict, default: str | None) -> Column:
+    out = F.lit(default).cast("string")
+    for k, v in table.items():
+        out = F.when(key == k, F.lit(v)).otherwise(out)
+    return F.when(key.isNotNull(), out)
+
+
+def access_status(status: Column, error: Column, permanent: Column | None = None) -> Column:
+    """What a fetch says about a page: a success is ``ok``, or ``redirected`` where
+    the whole chain was permanent; a failure says it by its type, a client error by
+    its status. Nothing fetched is ``not_checked``; an unknown type has no status, so
+    that it is noticed rather than given a plausible one."""
+    client = _looked_up(status, CLIENT_STATUS, "unreachable")
+    kind = _looked_up(error, {k: v[2] for k, v in FAILURES.items() if v[2]}, None)
+    moved = F.coalesce(permanent, F.lit(False)) if permanent is not None else F.lit(False)
     return (
-        F.when(error == "robots_denied", "robots_denied")
-        .when(error.isin("timeout", "dns", "connection"), "unreachable")
-        .when(status.between(200, 299) | (status == 304), "accessible")
-        .when(status.isin(401, 402, 403, 451), "restricted")
-        .when(status.isin(404, 410), "gone")
-        .when(status == 429, "rate_limited")
+        F.when(error == "http_4xx", F.coalesce(client, F.lit("unreachable")))
+        .when(error.isNotNull(), kind)
+        .when(status.isNull(), "not_checked")
+        .when(status.between(200, 299) | (status == 304), F.when(moved, "redirected").otherwise("ok"))
+        .when(status.between(400, 499), client)
         .when(status >= 500, "server_error")
-        .when(status.isNull() & error.isNull(), "not_checked")
-        .otherwise("unknown_error")
+        .otherwise("unreachable")
     )
 
 

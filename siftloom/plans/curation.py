@@ -77,7 +77,7 @@ _FOUND = (
 
 @query(
     f"""WITH {_FOUND}, r AS (SELECT *, rank() OVER (PARTITION BY doc_id ORDER BY n DESC) AS k, count(*) OVER (PARTITION BY doc_id, n) AS same FROM ev WHERE axis = 'industry')
-SELECT doc_id, CASE WHEN max(same) > 1 THEN 'cross-industry' ELSE min(slug) END AS slug, round(least(max(n), 3) / 3::DOUBLE, 4) AS confidence, max(same) > 1 AS tie FROM r WHERE k = 1 GROUP BY doc_id"""
+SELECT doc_id, CASE WHEN max(same) > 1 THEN 'other-unclear' ELSE min(slug) END AS slug, round(least(max(n), 3) / 3::DOUBLE, 4) AS confidence, max(same) > 1 AS tie FROM r WHERE k = 1 GROUP BY doc_id"""
 )
 def facet_industry(spark, sf_dir):
     return facets.single(_facet_evidence(spark, sf_dir), "doc_id", "industry")
@@ -122,9 +122,10 @@ _axis = "SELECT doc_id, list(slug ORDER BY n DESC, slug) AS slugs, count(*) FILT
 
 @query(
     f"""WITH {_FOUND}, i AS ({_axis.format('industry')}), f AS ({_axis.format('function')}), u AS ({_axis.format('use_case')})
-SELECT d.doc_id, CASE WHEN d.lang = 'es' THEN NULL WHEN i.tops > 1 THEN 'cross-industry' ELSE i.slugs[1] END AS industry, CASE WHEN d.lang = 'es' THEN NULL ELSE coalesce(array_to_string(f.slugs[1:4], ','), '') END AS functions,
+SELECT d.doc_id, CASE WHEN d.lang = 'es' THEN NULL WHEN i.tops > 1 THEN 'other-unclear' ELSE i.slugs[1] END AS industry, CASE WHEN d.lang = 'es' THEN NULL ELSE coalesce(array_to_string(f.slugs[1:4], ','), '') END AS functions,
   CASE WHEN d.lang = 'es' THEN NULL ELSE coalesce(array_to_string(u.slugs[1:4], ','), '') END AS use_cases,
-  CASE WHEN d.lang = 'es' THEN NULL ELSE concat_ws('; ', CASE WHEN i.doc_id IS NULL THEN 'industry: no evidence' WHEN i.tops > 1 THEN 'industry: tie' END, CASE WHEN f.doc_id IS NULL THEN 'function: no evidence' END, CASE WHEN u.doc_id IS NULL THEN 'use_case: no evidence' END) END AS unresolved,
+  CASE WHEN d.lang = 'es' THEN NULL ELSE concat_ws('; ', CASE WHEN f.doc_id IS NULL THEN 'function: insufficient_evidence' WHEN len(f.slugs) > 4 THEN 'function: other-unclear: dropped: ' || array_to_string(f.slugs[5:], ', ') END,
+    CASE WHEN i.doc_id IS NULL THEN 'industry: insufficient_evidence' WHEN i.tops > 1 THEN 'industry: other-unclear: equally supported: ' || array_to_string(i.slugs[1:i.tops], ', ') END, CASE WHEN u.doc_id IS NULL THEN 'use_case: insufficient_evidence' END) END AS unresolved,
   d.lang <> 'es' AND coalesce(i.tops, 0) = 1 AND (f.doc_id IS NOT NULL OR u.doc_id IS NOT NULL) AS resolved
 FROM documents d LEFT JOIN i USING (doc_id) LEFT JOIN f USING (doc_id) LEFT JOIN u USING (doc_id)"""
 )

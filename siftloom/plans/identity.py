@@ -120,9 +120,18 @@ def sighting_counts(spark, sf_dir):
 
 
 @query(
-    f"""WITH {DELIVERIES_SQL}, i AS (SELECT lane_id, unnest([CASE WHEN trim(title) = '' THEN 'title:missing' END, CASE WHEN topic = '' THEN 'topic:missing' WHEN lower(topic) = 'unknown' THEN 'topic:unknown_sentinel' END]) AS issue FROM obs)
+    f"""WITH {DELIVERIES_SQL}, x AS (SELECT *, CASE position % 5 WHEN 0 THEN '' WHEN 1 THEN 'Unknown' ELSE title END AS t, CASE position % 4 WHEN 0 THEN NULL WHEN 1 THEN 'someday' WHEN 2 THEN 'unknown' ELSE '2024-01-02T03:04:05Z' END AS d, position % 3 = 0 AS two FROM obs),
+i AS (SELECT lane_id, unnest([CASE WHEN coalesce(trim(t), '') = '' THEN 'title:missing' WHEN lower(t) = 'unknown' THEN 'title:unknown_sentinel' END, CASE WHEN d IS NULL THEN 'published_at:missing' WHEN d = 'unknown' THEN 'published_at:unknown_sentinel' WHEN d = 'someday' THEN 'published_at:unparseable_date' END, CASE WHEN two THEN 'title:conflicting_values' END]) AS issue FROM x)
 SELECT lane_id, issue, count(*) AS n FROM i WHERE issue IS NOT NULL GROUP BY 1, 2"""
 )
 def extraction_issues(spark, sf_dir):
-    x = dedupe.extraction_issues(deliveries(spark, sf_dir), ["title", "topic"], "published_at")
+    n = F.col("position")
+    d = deliveries(spark, sf_dir).withColumns(
+        {
+            "title": F.when(n % 5 == 0, "").when(n % 5 == 1, "Unknown").otherwise(F.col("title")),
+            "published_at": F.when(n % 4 == 1, "someday").when(n % 4 == 2, "unknown").when(n % 4 == 3, "2024-01-02T03:04:05Z"),
+            "titles": F.when(n % 3 == 0, F.array(F.lit("a"), F.lit(" "), F.lit("b"))).otherwise(F.array(F.lit("a"), F.lit("a"), F.lit(""))),
+        }
+    )
+    x = dedupe.extraction_issues(d, ["title", "published_at"], "published_at", {"title": "titles"})
     return x.select("lane_id", F.explode("issues").alias("i")).groupBy("lane_id", F.concat_ws(":", "i.field", "i.kind").alias("issue")).agg(F.count("*").alias("n"))

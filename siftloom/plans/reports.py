@@ -23,7 +23,7 @@ def query(sql: str | None = None):
     return add
 
 
-_VOCAB = [("lang", "en", "priority", 500), ("lang", "fr", "priority", 900), ("lang", "it", "standard", 40), ("source", "src0", "standard", 60), ("source", "src1", "record_only", 900), ("source", "src2", "standard", 900), ("source", "none", "priority", 10)]
+_VOCAB = [("lang", "en", "priority", 500), ("lang", "fr", "priority", 900), ("lang", "it", "standard", 40), ("source", "src0", "standard", 60), ("source", "src1", "record_only", 900), ("source", "src2", "standard", 900), ("source", "none", "priority", 10), ("source", "other-unclear", "priority", 10), ("lang", "cross-industry", "standard", 5)]
 _VOCAB_SQL = "vocab(axis, slug, tier, target) AS (VALUES " + ", ".join(str(v) for v in _VOCAB) + "), seen AS (SELECT 'lang' AS axis, lang AS slug, count(DISTINCT doc_id) AS observed FROM documents GROUP BY 2 UNION ALL SELECT 'source', source, count(DISTINCT doc_id) FROM documents GROUP BY 2), tgt AS (SELECT axis, slug, tier, CAST(target AS BIGINT) AS target, coalesce(observed, 0) AS observed, greatest(target - coalesce(observed, 0), 0) AS gap FROM vocab LEFT JOIN seen USING (axis, slug))"
 
 
@@ -44,16 +44,19 @@ def category_coverage(spark, sf_dir):
     return table(spark, sf_dir, "documents").join(lab, "doc_id", "left").groupBy("lang", "source").agg(F.count_if(ok).alias("eligible"), F.count_if(~ok).alias("withheld"))
 
 
+_STATS = [("lang", "fr", 0.8, 0.1, 0.2, True), ("source", "src2", 0.25, None, 0.5, False), ("lang", "it", None, 0.3, None, True), ("source", "other-unclear", 1.0, None, None, True)]
+
+
 @query(
-    f"""WITH {_VOCAB_SQL}, st(axis, slug, y, dup, rej, src) AS (VALUES ('lang', 'fr', 0.8, 0.1, 0.2, true), ('source', 'src2', 0.25, NULL, 0.5, false), ('lang', 'it', NULL, 0.3, NULL, true))
-SELECT axis, slug, gap, round(((((((0.35::DOUBLE * least(1.0::DOUBLE, gap / greatest(target, 1)::DOUBLE) + 0.2::DOUBLE * CASE tier WHEN 'priority' THEN 1.0::DOUBLE WHEN 'standard' THEN 0.5::DOUBLE ELSE 0 END) + 0.15::DOUBLE * coalesce(y, 0.5)::DOUBLE)
-  - 0.1::DOUBLE * coalesce(dup, 0)::DOUBLE) - 0.1::DOUBLE * coalesce(rej, 0)::DOUBLE) + 0.05::DOUBLE * CASE WHEN src THEN 1 ELSE 0 END) + 0.05::DOUBLE * 0.75::DOUBLE), 6) AS score, NOT coalesce(src, false) AS no_credible_source
-FROM tgt LEFT JOIN st USING (axis, slug) WHERE gap > 0 AND tier <> 'record_only' AND slug <> 'none'"""
+    f"""WITH {_VOCAB_SQL}, st(axis, slug, y, dup, rej, src) AS (VALUES ('lang', 'fr', 0.8, 0.1, 0.2, true), ('source', 'src2', 0.25, NULL, 0.5, false), ('lang', 'it', NULL, 0.3, NULL, true), ('source', 'other-unclear', 1.0, NULL, NULL, true)),
+f AS (SELECT axis, slug, gap, least(1.0::DOUBLE, gap / greatest(target, 1)::DOUBLE) AS remaining_gap, CASE tier WHEN 'priority' THEN 1.0::DOUBLE WHEN 'standard' THEN 0.5::DOUBLE ELSE 0 END AS configured_priority, coalesce(y, 0.5)::DOUBLE AS acceptance_yield,
+  coalesce(dup, 0)::DOUBLE AS duplicate_rate, coalesce(rej, 0)::DOUBLE AS quality_rejection_rate, CASE WHEN src THEN 1 ELSE 0 END::DOUBLE AS credible_source_available FROM tgt LEFT JOIN st USING (axis, slug) WHERE gap > 0 AND tier <> 'record_only' AND slug NOT IN ('other-unclear', 'cross-industry'))
+SELECT axis, slug, gap, round(((((((0.3::DOUBLE * remaining_gap + 0.2::DOUBLE * configured_priority) + 0.15::DOUBLE * acceptance_yield) - 0.1::DOUBLE * duplicate_rate) - 0.1::DOUBLE * quality_rejection_rate) + 0.1::DOUBLE * credible_source_available) + 0.05::DOUBLE * 0.75::DOUBLE), 6) AS score,
+  'gap__' || axis || '__' || slug AS lane_id, remaining_gap, acceptance_yield, CASE WHEN credible_source_available = 0 THEN 'no_credible_source' END AS not_opened_reason FROM f"""
 )
 def gap_rank(spark, sf_dir):
-    rows = [("lang", "fr", 0.8, 0.1, 0.2, True), ("source", "src2", 0.25, None, 0.5, False), ("lang", "it", None, 0.3, None, True)]
-    stats = spark.createDataFrame(rows, "axis string, slug string, acceptance_yield double, duplicate_rate double, rejection_rate double, has_source boolean")
-    return coverage.rank_gaps(_targets(spark, sf_dir), stats, 0.75, ("none",))
+    stats = spark.createDataFrame(_STATS, "axis string, slug string, acceptance_yield double, duplicate_rate double, quality_rejection_rate double, has_source boolean")
+    return coverage.rank_gaps(_targets(spark, sf_dir), stats, 0.75).select("axis", "slug", "gap", "score", "lane_id", "factors.remaining_gap", "factors.acceptance_yield", "not_opened_reason")
 
 
 @query(
@@ -181,26 +184,31 @@ def robots_longest_match(spark, sf_dir):
 
 
 @query(
-    """WITH RECURSIVE e AS (SELECT 'u' || n_nationkey AS url, 'u' || (n_nationkey * 3 % 26) AS target, CASE WHEN n_nationkey % 4 = 0 THEN 302 ELSE 301 END AS status FROM nation WHERE n_nationkey % 5 <> 2),
+    """WITH RECURSIVE e AS (SELECT 'u' || n_nationkey AS url, 'u' || (CASE WHEN n_nationkey % 5 = 2 THEN 90 ELSE n_nationkey * 3 % 26 END) AS target, CASE WHEN n_nationkey % 4 = 0 THEN 302 ELSE 301 END AS status FROM nation),
 w AS (SELECT url, target, 1 AS hops, status = 301 AS permanent, [url, target] AS seen, url = target AS loop FROM e
   UNION ALL SELECT w.url, e.target, hops + 1, permanent AND e.status = 301, list_append(seen, e.target), list_contains(seen, e.target) FROM w JOIN e ON w.target = e.url WHERE NOT loop AND hops <= 3)
 SELECT url, arg_max(target, hops) AS final_url, CAST(max(hops) AS INTEGER) AS hops, arg_max(permanent, hops) AS permanent, arg_max(loop, hops) AS loop, max(hops) > 3 AS too_long FROM w GROUP BY url"""
 )
 def redirect_chain(spark, sf_dir):
-    n = table(spark, sf_dir, "nation").where("n_nationkey % 5 <> 2")
+    n = table(spark, sf_dir, "nation")  # some chains end outside the table
     u = lambda c: F.concat(F.lit("u"), c.cast("string"))
-    return links.redirect_facts(n.select(u(F.col("n_nationkey")).alias("url"), u(F.col("n_nationkey") * 3 % 26).alias("target"), F.when(F.col("n_nationkey") % 4 == 0, 302).otherwise(301).alias("status")))
+    return links.redirect_facts(n.select(u(F.col("n_nationkey")).alias("url"), u(F.when(F.col("n_nationkey") % 5 == 2, 90).otherwise(F.col("n_nationkey") * 3 % 26)).alias("target"), F.when(F.col("n_nationkey") % 4 == 0, 302).otherwise(301).alias("status")))
 
 
 @query(
-    """WITH s AS (SELECT event_id, CASE WHEN event_id % 11 = 0 THEN NULL ELSE [200, 301, 404, 403, 429, 503, 304][1 + event_id % 7] END AS st, CASE WHEN event_id % 13 = 0 THEN 'timeout' WHEN event_id % 17 = 0 THEN 'robots_denied' END AS er FROM events)
-SELECT event_id, CASE WHEN er = 'robots_denied' THEN 'robots_denied' WHEN er = 'timeout' THEN 'unreachable' WHEN st IN (200, 304) THEN 'accessible' WHEN st = 403 THEN 'restricted' WHEN st = 404 THEN 'gone' WHEN st = 429 THEN 'rate_limited'
-  WHEN st >= 500 THEN 'server_error' WHEN st IS NULL THEN 'not_checked' ELSE 'unknown_error' END AS access_status FROM s"""
+    """WITH s AS (SELECT event_id, CASE WHEN event_id % 11 = 0 THEN NULL ELSE [200, 301, 404, 403, 402, 410, 418, 503, 304, 401][1 + event_id % 10] END AS st, event_id % 3 = 0 AS perm,
+  CASE WHEN event_id % 13 = 0 THEN ['http_timeout', 'robots_denied', 'dns_failure', 'http_4xx', 'http_5xx', 'response_too_large', 'budget_exhausted', 'never_heard_of'][1 + (event_id // 13) % 8] END AS er FROM events),
+c AS (SELECT *, CASE WHEN st IN (401, 403) THEN 'auth_required' WHEN st = 402 THEN 'paywalled' WHEN st = 404 THEN 'not_found' WHEN st = 410 THEN 'gone' ELSE 'unreachable' END AS client FROM s)
+SELECT event_id, CASE WHEN er = 'http_4xx' THEN client WHEN er = 'http_timeout' THEN 'timeout' WHEN er = 'robots_denied' THEN 'robots_denied' WHEN er IN ('dns_failure', 'response_too_large') THEN 'unreachable' WHEN er = 'http_5xx' THEN 'server_error'
+  WHEN er = 'budget_exhausted' THEN 'not_checked' WHEN er IS NOT NULL THEN NULL WHEN st IS NULL THEN 'not_checked' WHEN st IN (200, 304) THEN CASE WHEN perm THEN 'redirected' ELSE 'ok' END
+  WHEN st BETWEEN 400 AND 499 THEN client WHEN st >= 500 THEN 'server_error' ELSE 'unreachable' END AS access_status FROM c"""
 )
 def access_states(spark, sf_dir):
-    st = F.when(F.col("event_id") % 11 != 0, F.element_at(F.array(*[F.lit(x) for x in (200, 301, 404, 403, 429, 503, 304)]), (F.col("event_id") % 7 + 1).cast("int")))
-    er = F.when(F.col("event_id") % 13 == 0, "timeout").when(F.col("event_id") % 17 == 0, "robots_denied")
-    return table(spark, sf_dir, "events").select("event_id", links.access_status(st, er).alias("access_status"))
+    at = lambda values, n: F.element_at(F.array(*[F.lit(x) for x in values]), (n + 1).cast("int"))
+    e = F.col("event_id")
+    st = F.when(e % 11 != 0, at((200, 301, 404, 403, 402, 410, 418, 503, 304, 401), e % 10))
+    er = F.when(e % 13 == 0, at(("http_timeout", "robots_denied", "dns_failure", "http_4xx", "http_5xx", "response_too_large", "budget_exhausted", "never_heard_of"), F.floor(e / 13) % 8))
+    return table(spark, sf_dir, "events").select("event_id", links.access_status(st, er, e % 3 == 0).alias("access_status"))
 
 
 @query(
@@ -213,39 +221,68 @@ def dominant_reasons(spark, sf_dir):
 
 
 @query(
-    """WITH c AS (SELECT 'n' || n_nationkey AS cell_id FROM nation), o AS (SELECT 'n' || c_nationkey AS cell_id, count(*) AS candidates, count(*) FILTER (c_acctbal > 9800) AS accepted, count(*) FILTER (c_acctbal <= 9800) AS rejected,
-  bool_or(c_custkey % 90 = 0) AS infra, bool_or(c_custkey % 40 = 1) AS adapter FROM customer WHERE c_nationkey % 6 <> 5 GROUP BY 1)
+    """WITH c AS (SELECT 'n' || n_nationkey AS cell_id FROM nation UNION ALL SELECT 'r' || r_regionkey FROM region), o AS (SELECT 'n' || c_nationkey AS cell_id, count(*) AS candidates, count(*) FILTER (c_acctbal > 9800) AS accepted, count(*) FILTER (c_acctbal <= 9800) AS rejected,
+  bool_or(c_custkey % 90 = 0) AS infra, bool_or(c_custkey % 40 = 1) AS adapter FROM customer GROUP BY 1)
 SELECT cell_id, CASE WHEN candidates IS NULL THEN 'not_run' WHEN accepted > 0 THEN 'ok' WHEN infra THEN 'infrastructure_error' WHEN adapter THEN 'adapter_error' ELSE 'zero_result' END AS status, coalesce(candidates, 0) AS candidates, coalesce(accepted, 0) AS accepted, coalesce(rejected, 0) AS rejected FROM c LEFT JOIN o USING (cell_id)"""
 )
 def cell_manifest(spark, sf_dir):
     cell = lambda c: F.concat(F.lit("n"), F.col(c).cast("string")).alias("cell_id")
     ok = F.col("c_acctbal") > 9800
-    o = table(spark, sf_dir, "customer").where("c_nationkey % 6 <> 5").select(cell("c_nationkey"), F.lit(1).cast("long").alias("candidates"), ok.cast("long").alias("accepted"), (~ok).cast("long").alias("rejected"), F.when(F.col("c_custkey") % 90 == 0, "infrastructure_error").when(F.col("c_custkey") % 40 == 1, "adapter_error").alias("error_class"))
-    return records.cell_status(table(spark, sf_dir, "nation").select(cell("n_nationkey")), o)
+    o = table(spark, sf_dir, "customer").select(cell("c_nationkey"), F.lit(1).cast("long").alias("candidates"), ok.cast("long").alias("accepted"), (~ok).cast("long").alias("rejected"), F.when(F.col("c_custkey") % 90 == 0, "infrastructure_error").when(F.col("c_custkey") % 40 == 1, "adapter_error").alias("error_class"))
+    never_run = table(spark, sf_dir, "region").select(F.concat(F.lit("r"), F.col("r_regionkey").cast("string")).alias("cell_id"))
+    return records.cell_status(table(spark, sf_dir, "nation").select(cell("n_nationkey")).unionByName(never_run), o)
 
 
 @query(
-    """WITH r AS (SELECT l_partkey, min('lane' || l_suppkey % 3) AS lane_id, max(l_linenumber) AS attempts, max(l_quantity) AS retries FROM lineitem GROUP BY 1)
+    """WITH r AS (SELECT l_partkey, min('lane' || (l_partkey + l_suppkey % 2) % 5) AS lane_id, max(l_linenumber) AS attempts, max(l_quantity) AS retries FROM lineitem GROUP BY 1)
 SELECT lane_id, count(*) AS requests, CAST(sum(attempts) AS BIGINT) AS attempts, sum(retries) AS retries FROM r GROUP BY 1"""
 )
 def request_accounting(spark, sf_dir):
-    r = table(spark, sf_dir, "lineitem").select("l_partkey", F.concat(F.lit("lane"), (F.col("l_suppkey") % 3).cast("string")).alias("lane_id"), F.col("l_linenumber").alias("attempts"), F.col("l_quantity").alias("retries"))
+    r = table(spark, sf_dir, "lineitem").select("l_partkey", F.concat(F.lit("lane"), ((F.col("l_partkey") + F.col("l_suppkey") % 2) % 5).cast("string")).alias("lane_id"), F.col("l_linenumber").alias("attempts"), F.col("l_quantity").alias("retries"))
     return records.request_totals(r, "l_partkey", "lane_id")
 
 
 # -- sources ---------------------------------------------------------------------------
 
 
-@query("WITH e AS (SELECT event_id, CAST(json_extract_string(props, '$.k') AS VARCHAR) AS k FROM events) SELECT event_id, k FROM e")
+@query(
+    """SELECT event_id, CAST(json_extract_string(props, '$.k') AS VARCHAR) AS k, 'v' || event_id AS nested, CAST(event_id AS VARCHAR) AS number, NULL AS flag, 'b' || event_id AS last, CASE WHEN event_id % 2 = 0 THEN 'zero' ELSE 'a' || event_id END AS digit, CAST(event_id % 7 AS VARCHAR) AS odd, NULL AS absent FROM events"""
+)
 def json_paths(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", readers.json_value(F.try_parse_json(F.col("props")), "k").alias("k"))
+    eid = F.col("event_id").cast("string")
+    listed = F.concat(F.lit('["a'), eid, F.lit('","b'), eid, F.lit('"]'))
+    body = F.concat(
+        F.lit('{"a":{"b":"v'), eid, F.lit('"},"n":'), eid, F.lit(',"f":true,"l":'), F.when(F.col("event_id") % 2 == 0, F.lit('{"0":"zero"}')).otherwise(listed),
+        F.lit(',"m":'), listed, F.lit(',"odd key-$":'), (F.col("event_id") % 7).cast("string"), F.lit("}"),
+    )
+    e = table(spark, sf_dir, "events").withColumns({"p": F.try_parse_json("props"), "d": F.try_parse_json(body)})
+    at = lambda path: readers.json_value(F.col("d"), path)
+    return e.select("event_id", readers.json_value(F.col("p"), "k").alias("k"), at("a.b").alias("nested"), at("n").alias("number"), at("f").alias("flag"), at("m.-1").alias("last"), at("l.0").alias("digit"), at("odd key-$").alias("odd"), at("m.-3").alias("absent"))
 
 
-@query()
+@query(
+    r"""WITH p AS (SELECT page_id, regexp_extract(url, '^(https?://[^/?#]*)', 1) AS site, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1) AS hrefs, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2) AS texts FROM pages),
+a AS (SELECT page_id, site || unnest(hrefs) AS target_url, trim(regexp_replace(unnest(texts), '\s+', ' ', 'g')) AS anchor, unnest(range(len(hrefs))) AS n FROM p),
+f AS (SELECT page_id, target_url, min(n) AS n, arg_min(anchor, n) AS anchor FROM a GROUP BY 1, 2)
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY n) - 1 AS INTEGER) AS position, target_url, anchor FROM f"""
+)
 def html_links(spark, sf_dir):
     return readers.html_links(table(spark, sf_dir, "pages"), "page_id", "url", "html")
 
 
+@query(
+    r"""WITH p AS (SELECT page_id, regexp_extract(url, '^(https?://[^/?#]*)', 1) AS site, regexp_extract_all(html, '<a href="([^"]*)">', 1) AS hrefs FROM pages),
+a AS (SELECT page_id, site || unnest(hrefs) AS target_url, unnest(hrefs) AS path, unnest(range(len(hrefs))) AS n FROM p),
+f AS (SELECT page_id, target_url, min(n) AS n FROM a WHERE starts_with(path, '/t') OR starts_with(path, '/e') GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY n) - 1 AS k FROM f)
+SELECT page_id, CAST(k AS INTEGER) AS position, target_url FROM r WHERE k < 3"""
+)
+def index_children(spark, sf_dir):
+    """Children of an index page under a path allowlist; anchors of another host are put in to be left out."""
+    html = F.replace(F.col("html"), F.lit("<ul>"), F.lit('<ul><a href="https://elsewhere.example.net/tx">x</a><a href="mailto:t@e.example">y</a>'))
+    p = table(spark, sf_dir, "pages").withColumn("html", html)
+    return readers.index_children(p, "page_id", "url", "html", ("/t", "/e"), most=3).select("page_id", "position", "target_url")
+
+
 @query(
     """WITH u AS (SELECT page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href FROM pages) SELECT page_id, count(*) AS links FROM u GROUP BY 1"""
 )

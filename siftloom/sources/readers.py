@@ -6,17 +6,21 @@ be read gives no row or a null, never a failed job.
 
 from __future__ import annotations
 
+import hashlib
 import json
-from collections.abc import Iterator, Mapping
+import re
+from collections.abc import Iterator, Mapping, Sequence
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, StringType
 
+from ..functions import urls
 from ..runtime import prepare
 
 
@@ -48,28 +52,55 @@ def _unescaped(x: Column) -> Column:
     return x
 
 
-def json_path(dotted: str) -> str:
-    """``a.0.b`` as ``$.a[0].b``."""
-    return "$" + "".join(f"[{p}]" if p.isdigit() else f".{p}" for p in dotted.split(".") if p)
+def json_at(value: Column, dotted: str) -> Column:
+    """The variant at a dotted path: each segment is a key of an object, or else a
+    number counts the elements of a list, from its end if it is negative. Null where
+    nothing is."""
+    for p in (p for p in dotted.split(".") if p):
+        quote = '"' if "'" in p else "'"
+        step = F.try_variant_get(value, f"$[{quote}{p}{quote}]", "variant")
+        if p.isdigit():
+            step = F.coalesce(step, F.try_variant_get(value, f"$[{int(p)}]", "variant"))
+        elif p[0] == "-" and p[1:].isdigit():
+            whole = F.try_variant_get(value, "$", "array<variant>")
+            step = F.coalesce(step, F.get(whole, F.size(whole) + int(p)))
+        value = step
+    return value
 
 
 def json_value(value: Column, dotted: str) -> Column:
     """Text or number at a path as text; true, false, lists and objects are null."""
-    v = F.try_variant_get(value, json_path(dotted), "variant")
+    v = json_at(value, dotted)
     kind = F.schema_of_variant(v)
-    return F.when(kind.isin("BOOLEAN", "VOID") | kind.startswith("ARRAY") | kind.startswith("OBJECT"), None).otherwise(F.try_variant_get(value, json_path(dotted), "string"))
+    return F.when(kind.isin("BOOLEAN", "VOID") | kind.startswith("ARRAY") | kind.startswith("OBJECT"), None).otherwise(F.try_variant_get(v, "$", "string"))
 
 
 def json_items(bodies: DataFrame, body: str, items_path: str, fields: Mapping[str, str]) -> DataFrame:
     """Elements of the array at ``items_path`` with their position and mapped fields;
-    an element without a ``target_url`` is skipped, a body that isn't JSON gives none."""
-    doc = F.try_parse_json(F.col(body))
-    array = F.try_variant_get(doc, json_path(items_path) if items_path else "$", "array<variant>")
+    an element without a ``target_url`` is skipped. A body that isn't JSON, or has no
+    array there, gives none; :func:`json_problems` tells which."""
+    array = F.try_variant_get(json_at(F.try_parse_json(F.col(body)), items_path), "$", "array<variant>")
     rows = bodies.select("*", F.posexplode(array).alias("position", "_v"))
     rows = rows.select(*bodies.columns, "position", *[json_value(F.col("_v"), p).alias(n) for n, p in fields.items()])
     return rows.where(F.col("target_url").isNotNull()) if "target_url" in fields else rows
 
 
+def json_problems(bodies: DataFrame, key: str, body: str, items_path: str, fields: Mapping[str, str]) -> DataFrame:
+    """(key, reason, detail) of bodies whose shape isn't the mapping's: not JSON, no
+    list at ``items_path``, or a list of which no element has a target address."""
+    doc = F.try_parse_json(F.col(body))
+    at = json_at(doc, items_path)
+    array = F.try_variant_get(at, "$", "array<variant>")
+    usable = F.exists(array, lambda v: json_value(v, fields["target_url"]).isNotNull())
+    detail = (
+        F.when(doc.isNull(), "not_json")
+        .when(at.isNull(), "items_path_missing")
+        .when(array.isNull(), "items_path_not_a_list")
+        .when((F.size(array) > 0) & ~usable, "target_url_missing")
+    )
+    return bodies.select(key, F.lit("schema_mapping_failed").alias("reason"), detail.alias("detail")).where(F.col("detail").isNotNull())
+
+
 class _Page(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -109,30 +140,65 @@ def _parsed(html: str) -> _Page:
     return p
 
 
+#: Links that go out in one Arrow batch.
+_LINKS = 8192
+
+
 def html_links(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
     """(key, position, target_url, anchor): links of each page in document order,
     resolved against its address; http(s) only, the first of equal ones."""
     prepare(pages.sparkSession)
     kind = pages.schema[key].dataType.simpleString()
+    names = [key, "position", "target_url", "anchor"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for k, u, h in b.itertuples(index=False):
-                if not isinstance(h, str):
+            row, place, target, anchor = [], [], [], []
+
+            def out() -> pa.RecordBatch:
+                cols = [b.column(0).take(pa.array(row, pa.int64())), pa.array(place, pa.int32()), pa.array(target, pa.string()), pa.array(anchor, pa.string())]
+                return pa.RecordBatch.from_arrays(cols, names)
+
+            for k, (u, h) in enumerate(zip(b.column(1), b.column(2))):
+                if not h.is_valid:
                     continue
-                seen = set()
-                for href, text in _parsed(h).links:
+                base, seen = u.as_py() or "", set()
+                for href, text in _parsed(h.as_py()).links:
                     try:
-                        full = urljoin(u or "", href.strip())
+                        full = urljoin(base, href.strip())
                     except ValueError:
                         continue
                     if full.startswith(("http://", "https://")) and full not in seen:
+                        row.append(k)
+                        place.append(len(seen))
+                        target.append(full)
+                        anchor.append(" ".join(text.split()))
                         seen.add(full)
-                        rows.append((k, len(seen) - 1, full, " ".join(text.split())))
-            yield pd.DataFrame(rows, columns=[key, "position", "target_url", "anchor"])
-
-    return pages.select(key, url, html).mapInPandas(run, f"{key} {kind}, position int, target_url string, anchor string")
+                if len(row) >= _LINKS:
+                    yield out()
+                    row, place, target, anchor = [], [], [], []
+            if row:
+                yield out()
+
+    return pages.select(key, url, html).mapInArrow(run, f"{key} {kind}, position int, target_url string, anchor string")
+
+
+def index_children(pages: DataFrame, key: str, url: str, html: str, allowed: Sequence[str], same_host: bool = True, most: int | None = None) -> DataFrame:
+    """(key, position, target_url, anchor): links of an index page whose path begins
+    with an allowed prefix, on the page's own host if ``same_host``; the first
+    ``most`` of each page. Without any prefix nothing qualifies."""
+    found = html_links(pages, key, url, html)
+    path = F.when(urls.part(F.col("target_url"), 3) == "", "/").otherwise(urls.part(F.col("target_url"), 3))
+    ok = F.lit(False)
+    for p in allowed:
+        ok = ok | path.startswith(p)
+    found = found.where(ok)
+    if same_host:
+        own = pages.select(key, urls.host(F.col(url)).alias("_host"))
+        found = found.join(own, key).where(F.col("_host").isNull() | (urls.host(F.col("target_url")) == F.col("_host"))).drop("_host")
+    place = F.row_number().over(Window.partitionBy(key).orderBy("position")) - 1
+    found = found.withColumn("position", place)
+    return found if most is None else found.where(F.col("position") < most)
 
 
 @pandas_udf(ArrayType(StringType()))
@@ -165,22 +231,33 @@ def markdown_links(bodies: DataFrame, body: str) -> DataFrame:
     return rows.select(*[c for c in rows.columns if c != "_l"], link.alias("target_url")).where(~F.lower("target_url").contains("awesome"))
 
 
+_MARK = re.compile(r'["{}\[\]]')
+_STRING = re.compile(r'"(?:[^"\\]|\\.)*"', re.DOTALL)
+
+
 def recovered_json(text: str) -> str | None:
     """The one JSON object or array that stands in a text, fenced or among prose;
-    null for none, several, or only empty ones."""
-    decoder, found, at = json.JSONDecoder(), [], 0
-    while at < len(text):
-        if text[at] in "{[":
-            try:
-                value, end = decoder.raw_decode(text, at)
-            except (ValueError, RecursionError):
-                at += 1
-                continue
-            if value:
-                found.append(text[at:end])
-            at = end
-        else:
-            at += 1
+    null for none, several, or only empty ones. One scan over brackets, strings
+    skipped, finds the outermost balanced stretches; each is parsed once."""
+    found, stack, begin, at = [], [], 0, 0
+    while m := _MARK.search(text, at):
+        c, at = m.group(), m.end()
+        if c == '"':
+            if stack and (s := _STRING.match(text, m.start())):
+                at = s.end()
+        elif c in "{[":
+            if not stack:
+                begin = m.start()
+            stack.append("}" if c == "{" else "]")
+        elif stack:
+            if stack.pop() != c:
+                stack = []
+            elif not stack:
+                try:
+                    if json.loads(text[begin:at]):
+                        found.append(text[begin:at])
+                except (ValueError, RecursionError):
+                    pass
     return found[0] if len(found) == 1 else None
 
 
@@ -190,19 +267,38 @@ def json_in_text(text: pd.Series) -> pd.Series:
 
 
 def file_manifest(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """(file, bytes, sha256) of every file below ``path`` that isn't empty (Spark's
-    scan passes over empty files), in order of name."""
+    """(file, bytes, sha256) of every file below ``path``, by its path relative to it.
+    Spark's scan passes over empty files, so these are added from the listing."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")).orderBy("file")
+    jvm, root = spark._jvm, spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    top = fs.getFileStatus(root).getPath().toString().rstrip("/") + "/"
+    listed, empty = fs.listFiles(root, True), []
+    pattern = jvm.org.apache.hadoop.fs.GlobPattern(glob)
+    while listed.hasNext():
+        f = listed.next()
+        if not f.getLen() and pattern.matches(f.getPath().getName()):
+            empty.append((f.getPath().toString().removeprefix(top), 0, hashlib.sha256().hexdigest()))
+    relative = F.expr(f"substring(path, {len(top) + 1})")
+    own = files.select(relative.alias("file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    return own.unionByName(spark.createDataFrame(empty, "file string, bytes long, sha256 string")) if empty else own
+
+
+@pandas_udf(StringType())
+def _decoded_elsewhere(body: pd.Series, charset: pd.Series) -> pd.Series:
+    def one(b, c):
+        try:
+            return None if b is None else bytes(b).decode(c or "utf-8", "replace")
+        except LookupError:
+            return bytes(b).decode("utf-8", "replace")
+
+    return pd.Series([one(b, c) for b, c in zip(body, charset)], dtype=object)
 
 
 def decoded(body: Column, charset: Column) -> Column:
-    """Text of bytes in a known charset; UTF-8 where it is unknown."""
-    name = F.upper(F.trim(charset))
-    out = F.decode(body, "UTF-8")
-    for c in ("ISO-8859-1", "US-ASCII", "UTF-16"):
-        out = F.when(name == c, F.decode(body, c)).otherwise(out)
-    return out
+    """Text of bytes in the charset that they are said to have; UTF-8 where it is
+    unknown, U+FFFD for bytes that aren't text."""
+    return _decoded_elsewhere(body, F.lower(F.trim(charset)))
 
 
 def charset_of(content_type: Column) -> Column:

@@ -26,10 +26,12 @@ def first_sightings(items: DataFrame, key: str, time: str, within: str = "1 day"
 class LedgerSink:
     """A ledger kept as numbered Parquet versions below ``path``. Each micro-batch
     makes version ``epoch + 1`` from the one before; replaying a batch rewrites the
-    same version, so nothing counts twice."""
+    same version, so nothing counts twice. ``outcome_conflict`` stays set once a key
+    had two different terminal outcomes. ``keep`` versions stay, older ones go."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: str, key: Sequence[str], latest: Sequence[str] = ()):
-        self.spark, self.path, self.schema, self.key, self.latest = spark, path.rstrip("/"), schema, list(key), list(latest)
+    def __init__(self, spark: SparkSession, path: str, schema: str, key: Sequence[str], latest: Sequence[str] = (), keep: int = 3):
+        self.spark, self.path, self.key, self.latest, self.keep = spark, path.rstrip("/"), list(key), list(latest), max(2, keep)
+        self.schema = schema if "outcome_conflict" in schema else f"{schema}, outcome_conflict boolean"
 
     def version(self, n: int) -> DataFrame:
         if n < 1:
@@ -37,8 +39,11 @@ class LedgerSink:
         return self.spark.read.schema(self.schema).parquet(f"{self.path}/v{n:08d}")
 
     def write(self, batch: DataFrame, epoch: int) -> None:
-        merged = merge_observations(self.version(epoch), batch, self.key, self.latest)
-        merged.drop("outcome_conflict").write.mode("overwrite").parquet(f"{self.path}/v{epoch + 1:08d}")
+        before = self.version(epoch)
+        merged = merge_observations(before, batch, self.key, self.latest)
+        merged.write.mode("overwrite").parquet(f"{self.path}/v{epoch + 1:08d}")
+        old = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v{epoch + 1 - self.keep:08d}")
+        old.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(old, True)
 
     def start(self, stream: DataFrame, checkpoint: str) -> StreamingQuery:
         return stream.writeStream.foreachBatch(self.write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -128,5 +128,6 @@ def test_manifest(spark, tmp_path):
     (tmp_path / "d").mkdir()
     (tmp_path / "d" / "b.txt").write_bytes(b"x")
     (tmp_path / "a.txt").write_bytes(b"yz")
+    (tmp_path / "d" / "none").write_bytes(b"")
     got = [tuple(r)[:2] for r in readers.file_manifest(spark, str(tmp_path)).collect()]
-    assert got == [("a.txt", 2), ("b.txt", 1)]
+    assert sorted(got) == [("a.txt", 2), ("d/b.txt", 1), ("d/none", 0)]

@@ -116,15 +116,21 @@ def test_comparisons(spark):
 
 
 def test_rounds(spark):
-    ranked = spark.createDataFrame([("a", "x", 0.9, False), ("a", "y", 0.8, True), ("a", "z", 0.7, False)], "axis string, slug string, score double, no_credible_source boolean")
-    p = schedule.run_rounds(lambda: ranked, lambda lanes: (1, 0.0, 1.0))
-    assert p.stop == "rounds" and len(p.rounds) == 3 and p.rounds[0].lanes == [("a", "x"), ("a", "z")]
-    assert schedule.run_rounds(lambda: ranked, lambda lanes: (0, 0.0, 1.0)).stop == "no_progress"
-    assert schedule.run_rounds(lambda: ranked, lambda lanes: (5, 0.9, 1.0)).stop == "duplicates"
-    assert schedule.run_rounds(lambda: ranked, lambda lanes: (5, 0.9, 0.0)).stop == "budget"
-    assert schedule.run_rounds(lambda: ranked.limit(0), lambda lanes: (1, 0.0, 1.0)).stop == "no_gaps"
+    """Round 1 is the configured cells, whatever it finds; each reason to stop."""
+    cols = "axis string, slug string, score double, lane_id string, not_opened_reason string"
+    gaps = spark.createDataFrame([("a", "x", 0.9, "gap__a__x", None), ("a", "y", 0.8, "gap__a__y", "no_credible_source"), ("a", "z", 0.7, "gap__a__z", None), ("a", "w", 0.6, "gap__a__w", None)], cols)
+    R = schedule.Result
+    run = lambda work, g=gaps, **kw: schedule.run_rounds(["cell__1"], lambda left: g, work, thresholds={"m": 1.0}, **kw)
+    got = run(lambda n, lanes: R(1, 0.0))
+    assert [(r.number, r.lanes, r.stop_reason) for r in got] == [(1, ["cell__1"], None), (2, ["gap__a__x", "gap__a__z"], None), (3, ["gap__a__x", "gap__a__z"], "max_rounds")]
+    assert got[1].skipped == ["gap__a__y"] and all(r.published()["thresholds"] == {"m": 1.0} for r in got)
+    assert [r.stop_reason for r in run(lambda n, lanes: R(0, None))] == [None, "no_progress"]
+    assert [r.stop_reason for r in run(lambda n, lanes: R(5, 0.9))] == ["duplicate_rate"]
+    assert [r.stop_reason for r in run(lambda n, lanes: R(5, 0.9), budget=lambda n: 0.0)] == ["budget_exhausted"]
+    assert [r.stop_reason for r in run(lambda n, lanes: R(1), gaps.limit(0))] == ["all_targets_met"]
+    assert [r.stop_reason for r in run(lambda n, lanes: R(1), gaps.where("slug = 'y'"))] == [None, "no_credible_source"]
     with pytest.raises(ValueError):
-        schedule.link_sample(ranked, 26)
+        schedule.link_sample(gaps, 26)
 
 
 def test_coverage_counts_zero(spark):
