@@ -53,11 +53,14 @@ def registrable_hosts(spark, sf_dir):
     f"""WITH {_PAGES}, q AS (SELECT *, list_filter(string_split(ltrim(u.q, '?'), '&'), lambda p: p <> '' AND NOT starts_with(p, 'utm_')) AS ps FROM c)
 SELECT page_id, regexp_replace(regexp_replace(lower(regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.\\-]*://', '')), '^www\\.', ''), '/+$', '') AS match_key,
   lower(u.s) || '://' || lower(u.n) || regexp_replace(u.p, '/+$', '') || CASE WHEN len(ps) = 0 THEN '' ELSE '?' || array_to_string(ps, '&') END AS visited_key,
-  sha256(concat_ws('|', 'GET', canonical_url, 'v1', '')) AS request_key, array_to_string(list_sort(list_filter(string_split(ltrim(u.q, '?'), '&'), lambda p: p <> '')), '&') AS sorted_query FROM q"""
+  sha256(concat_ws('|', 'src' || page_id % 7, 'GET', canonical_url, CASE WHEN page_id % 2 = 0 THEN 'default' ELSE 'conditional' END, CASE WHEN page_id % 3 = 0 THEN 'accept:text/html,accept-language:en' ELSE 'accept:*/*' END, sha256('b' || page_id), 'preserve', '1')) AS request_key, array_to_string(list_sort(list_filter(string_split(ltrim(u.q, '?'), '&'), lambda p: p <> '')), '&') AS sorted_query FROM q"""
 )
 def url_keys(spark, sf_dir):
     u = F.col("url")
-    key = urls.request_key(F.lit("GET"), urls.canonical(u), F.lit("v1"), F.lit(None).cast("string"))
+    n, v = F.col("page_id"), lambda *x: F.create_map(*[F.lit(y) for y in x])
+    headers = F.when(n % 3 == 0, v("Accept-Language", "en", "ACCEPT", " text/html", "X-Trace", "7")).otherwise(v("accept", "*/*", "cookie", "k=1"))
+    mode, source = F.when(n % 2 == 0, "default").otherwise("conditional"), F.concat(F.lit("src"), (n % 7).cast("string"))
+    key = urls.request_key(source, u, mode, headers=headers, body=F.concat(F.lit("b"), n.cast("string")).cast("binary"))
     return table(spark, sf_dir, "pages").select("page_id", urls.match_key(u).alias("match_key"), urls.visited_key(u).alias("visited_key"), key.alias("request_key"), urls.stably_sorted_query(u).alias("sorted_query"))
 
 

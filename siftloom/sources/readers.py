@@ -303,3 +303,16 @@ def decoded(body: Column, charset: Column) -> Column:
 
 def charset_of(content_type: Column) -> Column:
     return F.nullif(F.lower(F.regexp_extract(content_type, r"(?i)charset\s*=\s*[\"']?([A-Za-z0-9_.:\-]+)", 1)), F.lit(""))
+
+
+def is_html(content_type: Column) -> Column:
+    return F.lower(F.trim(F.split_part(content_type, F.lit(";"), F.lit(1)))).isin("text/html", "application/xhtml+xml")
+
+
+def search_hits(bodies: DataFrame, body: str) -> DataFrame:
+    """(…, result, hit, url): addresses of the nested hits of stored search results;
+    results without hits and hits without an address give nothing."""
+    form = "struct<results:array<struct<hits:array<struct<url:string>>>>>"
+    r = bodies.select("*", F.posexplode(F.from_json(body, form)["results"]).alias("result", "_r"))
+    h = r.select(*bodies.columns, "result", F.posexplode("_r.hits").alias("hit", "_h"))
+    return h.select(*bodies.columns, "result", "hit", F.col("_h.url").alias("url")).where(F.coalesce(F.trim("url"), F.lit("")) != "")
