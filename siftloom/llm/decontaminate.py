@@ -106,6 +106,12 @@ class Items:
             order = np.argsort(h, kind="stable")
             at = at[order]
             self.seeds[k] = h[order], w.doc[at].astype(np.int32), (at - w.first[w.doc[at]]).astype(np.int32)
+        # which low bits the seeds have: a table of 16 places a seed, at most 2^26 of them
+        most = max([len(h) for h, *_ in self.seeds.values()], default=0)
+        self.mask = np.uint64((1 << min(26, max(10, (16 * most).bit_length()))) - 1)
+        self.maybe = {k: np.zeros(int(self.mask) + 1, bool) for k in self.seeds}
+        for k, (h, *_) in self.seeds.items():
+            self.maybe[k][h & self.mask] = True
 
     def _met(self, w: Words) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """(row, item, places in the document, places in the item) of the seeds that
@@ -113,10 +119,15 @@ class Items:
         rows, items, at_doc, at_item = [], [], [], []
         for k, (h, item, place) in self.seeds.items():
             at, g = w.grams(k)
-            lo, hi = np.searchsorted(h, g, "left"), np.searchsorted(h, g, "right")
-            hit = np.flatnonzero(hi > lo)
-            n = (hi - lo)[hit]
-            j = np.repeat(lo[hit] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            if not len(h):
+                continue
+            # most seeds of a document are in no item: their low bits tell, without a search
+            few = np.flatnonzero(self.maybe[k][g & self.mask])
+            lo = np.searchsorted(h, g[few], "left")
+            met = h[np.minimum(lo, len(h) - 1)] == g[few]
+            hit, lo = few[met], lo[met]
+            n = np.searchsorted(h, g[hit], "right") - lo
+            j = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
             a = np.repeat(at[hit], n)
             rows.append(w.doc[a])
             items.append(item[j])
