@@ -132,7 +132,9 @@ def test_suffix(spark, full, empty):
     assert ran(spark, suffix.repeated_spans(empty)) == [] and ran(spark, suffix.drop_repeats(empty)) == []
 
 
-def test_lines(spark, full, empty):
+@pytest.mark.parametrize("most", [10**6, 0])
+def test_lines(spark, full, empty, monkeypatch, most):
+    monkeypatch.setattr(lines, "BROADCAST_ROWS", most)
     got = lines.line_dedup(full, max_docs=1)
     assert got.columns == full.columns and got.count() == 13
     by = {r["doc_id"]: r["text"] for r in got.where("doc_id is not null").collect()}

@@ -252,7 +252,9 @@ def test_exact_tells_texts_of_one_digest_apart(spark, monkeypatch):
         assert len(set(got.values())) == len(set(text.values()))
 
 
-def test_lines_equal_brute_force(spark):
+@pytest.mark.parametrize("rows", [10**6, 0])
+def test_lines_equal_brute_force(spark, monkeypatch, rows):
+    monkeypatch.setattr(lines, "BROADCAST_ROWS", rows)
     rng = random.Random(4)
     pool = [prose(rng, 4, False) for _ in range(12)]
     docs = {k: "\n".join(rng.choice(pool + ["", f"own {k}"]) for _ in range(6)) for k in range(60)}
@@ -264,7 +266,9 @@ def test_lines_equal_brute_force(spark):
                 held[norm(x)].add(k)
     want = {k: "\n".join(x for x in t.split("\n") if not norm(x) or len(held[norm(x)]) <= 20 or min(held[norm(x)]) == k) for k, t in docs.items()}
     d = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
-    assert {r["doc_id"]: r["text"] for r in lines.line_dedup(d, 20).collect()} == want
+    got = lines.line_dedup(d, 20, with_count=True).collect()
+    assert {r["doc_id"]: r["text"] for r in got} == want
+    assert {r["doc_id"]: r["lines_dropped"] for r in got} == {k: docs[k].count("\n") - want[k].count("\n") if want[k] != "" or docs[k] == "" else sum(norm(x) != "" for x in docs[k].split("\n")) for k in docs}
 
 
 def record(payload, head=b"", size=None):
