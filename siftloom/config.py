@@ -35,7 +35,7 @@ def load(path: str) -> dict:
 def scan_documents(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
     """(file, document, error): the JSON files below ``path`` as variants; a file
     that can't be read as JSON has a null document and says so."""
-    raw = spark.read.text(path, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True).select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"), "value")
+    raw = spark.read.text(path, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True).select(F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))).alias("file"), "value")
     return raw.select("file", F.try_parse_json("value").alias("document"), F.when(F.try_parse_json("value").isNull(), "not_json").alias("error"))
 
 

@@ -3,10 +3,16 @@ wrong, an empty one means that all is well."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+
+from ..runtime import prepare
 
 
 def long_form(rows: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
@@ -65,3 +71,48 @@ def fields_refused(schema_fields: Sequence[str], required: Sequence[str], allowe
     """Required fields that are absent, and fields that nobody knows."""
     have = set(schema_fields)
     return {"missing": sorted(set(required) - have), "unknown": sorted(have - set(allowed) - set(required))}
+
+
+def _walk(value, path: str, out: list) -> None:
+    if isinstance(value, dict):
+        out.append((path, f"object({len(value)})"))
+        for k in sorted(value):
+            _walk(value[k], f"{path}.{k}", out)
+    elif isinstance(value, list):
+        out.append((path, f"array({len(value)})"))
+        for n, v in enumerate(value):
+            # elements with an identity are compared by it, not by their place
+            own = v.get("record_id", v.get("id")) if isinstance(v, dict) else None
+            _walk(v, f"{path}[{n if own is None else own}]", out)
+    else:
+        out.append((path, json.dumps(value, ensure_ascii=False)))
+
+
+@pandas_udf(ArrayType(StructType([StructField("path", StringType()), StructField("value", StringType())])))
+def walked(document: pd.Series) -> pd.Series:
+    """Every path of a JSON text with its value; objects and arrays by their size,
+    elements that have an identifier by it. Null for what isn't JSON."""
+
+    def one(text):
+        try:
+            out: list = []
+            _walk(json.loads(text), "$", out)
+            return [{"path": p, "value": v} for p, v in out]
+        except (TypeError, ValueError, RecursionError):
+            return None
+
+    return document.map(one)
+
+
+def document_differences(left: DataFrame, right: DataFrame, name: str, document: str, permitted: str, content: str) -> DataFrame:
+    """(name, path, kind, left_value, right_value, verdict) over whole documents of two
+    runs. Paths that match ``permitted`` (clocks, identifiers of the run) or
+    ``content`` (regular expressions) are told apart; any other difference is a
+    violation. A document that only one run has differs at its root."""
+    prepare(left.sparkSession)
+    flat = lambda d, v: d.select(F.col(name), F.inline(walked(F.col(document)))).withColumnRenamed("value", v).withColumn(f"_{v}", F.lit(True))
+    both = flat(left, "left_value").join(flat(right, "right_value"), [name, "path"], "full_outer")
+    both = both.where(~F.col("left_value").eqNullSafe(F.col("right_value")))
+    kind = F.when(F.col("_left_value").isNull(), "added").when(F.col("_right_value").isNull(), "removed").otherwise("changed")
+    verdict = F.when(F.col("path").rlike(permitted), "permitted").when(F.col("path").rlike(content), "content").otherwise("violation")
+    return both.select(name, "path", kind.alias("kind"), "left_value", "right_value", verdict.alias("verdict"))

@@ -85,6 +85,25 @@ def assign(found: DataFrame, key: str, applicable: Column, most: int = 4) -> Dat
     return found.select(key, *[F.when(on, c).alias(n) for n, c in (("industry", industry), ("functions", pick("function")), ("use_cases", pick("use_case")), ("unresolved", why))])
 
 
+def applicability(record_type: Column, topic: Column, category: Column, forbidden: Sequence[str], gated: Sequence[tuple[str, str]], report_only: Sequence[tuple[str, str]] = ()) -> Column:
+    """(applicable, gated, report_only) of a record: pointers and forbidden topics have
+    no facets; gated cells are published only with resolved ones."""
+    on = F.coalesce((record_type == "full") & ~topic.isin(*forbidden), F.lit(False))
+
+    def among(cells: Sequence[tuple[str, str]]) -> Column:
+        out = F.lit(False)
+        for t, c in cells:
+            out = out | (topic.eqNullSafe(F.lit(t)) & category.eqNullSafe(F.lit(c)))
+        return on & out
+
+    return F.struct(on.alias("applicable"), among(gated).alias("gated"), among(report_only).alias("report_only"))
+
+
+def is_eligible(app: Column, resolved: Column) -> Column:
+    """Whether facets let a record be published: not gated, or resolved."""
+    return ~app["gated"] | F.coalesce(resolved, F.lit(False))
+
+
 def is_resolved(industry_supported: Column, functions: Column, use_cases: Column) -> Column:
     """A known industry, not the sentinel, and a function or a use case."""
     return F.coalesce(industry_supported, F.lit(False)) & ((F.coalesce(F.size(functions), F.lit(0)) > 0) | (F.coalesce(F.size(use_cases), F.lit(0)) > 0))

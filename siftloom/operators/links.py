@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import urls
@@ -147,3 +147,48 @@ def alias_decision(rows: DataFrame, migrations: DataFrame | None = None) -> Data
     return x.withColumns(
         {"canonical_url": F.when(tagged, F.col("_tag")).otherwise(F.col("_here")), "alias_kind": F.when(tagged, "rel_canonical").when(F.col("_moved"), "permanent_redirect")}
     ).drop("_moved", "_here", "_tags", "_tag", "_from", "_into", "_rule")
+
+
+def equivalent(a: Column, b: Column) -> Column:
+    """Whether two addresses are one under the canonical form; unusable ones never are."""
+    return F.coalesce(urls.canonical(a) == urls.canonical(b), F.lit(False))
+
+
+def same_site(a: Column, b: Column) -> Column:
+    return F.coalesce(urls.registrable(urls.host(a)) == urls.registrable(urls.host(b)), F.lit(False))
+
+
+def check_run(records: DataFrame, sample: DataFrame, fetches: DataFrame, checked_at: str) -> DataFrame:
+    """``records`` after a link check: those whose identity is in the sample get one
+    more entry in ``link_history`` (checked_at, access_status, content_hash,
+    changed_materially) and the new status; the others stay. Each identity was fetched
+    once, whatever number of records has it; without a fetch it is not checked."""
+    one = fetches.groupBy("identity_url").agg(F.min(F.struct("access_status", "content_hash")).alias("_f"))
+    taken = sample.select("identity_url", F.lit(True).alias("_in")).distinct()
+    x = records.join(taken, "identity_url", "left").join(one, "identity_url", "left")
+    status = F.coalesce("_f.access_status", F.lit("not_checked"))
+    changed = F.coalesce(F.col("content_hash") != F.col("_f.content_hash"), F.lit(False))
+    entry = F.struct(F.lit(checked_at).alias("checked_at"), status.alias("access_status"), F.col("_f.content_hash").alias("content_hash"), changed.alias("changed_materially"))
+    history = F.when(F.col("_in"), F.array_append("link_history", entry)).otherwise(F.col("link_history"))
+    on = F.coalesce("_in", F.lit(False))
+    out = {"link_history": history, "access_status": F.when(on, status).otherwise(F.col("access_status")), "content_hash": F.when(on, F.coalesce("_f.content_hash", "content_hash")).otherwise(F.col("content_hash"))}
+    return x.select(*[out[c].alias(c) if c in out else F.col(c) for c in records.columns])
+
+
+def robots_rules(files: DataFrame, host: str, body: str) -> DataFrame:
+    """(host, agent, pattern, allow, crawl_delay) of robots.txt texts. Lines of agents
+    that follow each other share the rules after them; comments, blank lines and
+    unknown fields say nothing; an empty pattern stays, it says nothing either."""
+    lines = files.select(F.col(host).alias("host"), F.posexplode(F.split(body, r"\r?\n")).alias("n", "l"))
+    clean = F.trim(F.regexp_replace("l", "#.*$", ""))
+    x = lines.select("host", "n", F.lower(F.trim(F.split_part(clean, F.lit(":"), F.lit(1)))).alias("field"), F.trim(F.substring_index(F.regexp_replace(clean, "^[^:]*:", "\u0001"), "\u0001", -1)).alias("value")).where(F.col("field").isin("user-agent", "allow", "disallow", "crawl-delay"))
+    w = Window.partitionBy("host").orderBy("n")
+    agent = F.col("field") == "user-agent"
+    begins = agent & ~F.coalesce(F.lag("field").over(w) == "user-agent", F.lit(False))
+    x = x.withColumn("_g", F.sum(begins.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    agents = x.where(agent).select("host", "_g", F.lower("value").alias("agent")).distinct()
+    rules = x.where(~agent & (F.col("_g") > 0)).select("host", "_g", "field", "value")
+    delay = rules.where("field = 'crawl-delay'").groupBy("host", "_g").agg(F.max(F.col("value").try_cast("double")).alias("crawl_delay"))
+    paths = rules.where("field <> 'crawl-delay'")
+    j = agents.join(delay, ["host", "_g"], "left").join(paths, ["host", "_g"], "left")
+    return j.select("host", "agent", F.coalesce("value", F.lit("")).alias("pattern"), (F.coalesce("field", F.lit("allow")) == "allow").alias("allow"), "crawl_delay").distinct()

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import urls
+from ..functions import cleaning, urls
 
 
 def full_records(items: DataFrame) -> DataFrame:
@@ -23,6 +23,42 @@ def full_records(items: DataFrame) -> DataFrame:
     )
 
 
+#: Optional fields of a record by what they hold; absent ones are null.
+TEXTS = ("title", "summary", "curation_reason", "publisher", "author", "language", "verification_evidence")
+TIMES = ("published_at", "updated_at", "discovered_at", "last_checked_at")
+SCORES = ("relevance", "quality", "audience_fit", "freshness")
+
+
+def make_full(items: DataFrame, run: str, discovered_at: str) -> DataFrame:
+    """Whole records of items (topic, category, identity_url, target_url, source_id,
+    adapter; optionally any of the texts, times and scores, tags, content_hash,
+    access_status, http_status, verification_status, canonical_url, rule_id, rationale).
+
+    Every field is there. Texts that are blank or say unknown are null, times are
+    ISO 8601 in UTC, tags a sorted set. A canonical address defaults to the identity,
+    a discovery to ``discovered_at``, an access status to not checked, and without a
+    rule the record stands where it was found."""
+    have = set(items.columns)
+    get = lambda c, kind="string": F.col(c) if c in have else F.lit(None).cast(kind)
+    time = lambda c: cleaning.utc_text(F.col(c) if dict(items.dtypes).get(c) == "timestamp" else cleaning.utc_time(get(c)))
+    tags = F.array_sort(F.array_distinct(F.filter(F.coalesce(get("tags", "array<string>"), F.array().cast("array<string>")), lambda t: F.trim(t) != "")))
+    out = {"schema_version": F.lit(1), "record_type": F.lit("full"), "record_id": urls.record_id(F.col("topic"), F.col("identity_url")), "content_id": urls.content_id(F.col("identity_url")), "topic": F.col("topic"), "primary_category": F.col("category"), "cell_id": cleaning.cell_id(F.col("topic"), F.col("category")), "tags": tags}
+    out |= {c: cleaning.known(get(c)) for c in TEXTS}
+    out |= {"source_url": get("source_url"), "target_url": F.col("target_url"), "identity_url": F.col("identity_url"), "canonical_url": F.coalesce(get("canonical_url"), F.col("identity_url"))}
+    out |= {c: time(c) for c in TIMES}
+    out["discovered_at"] = F.coalesce(out["discovered_at"], F.lit(discovered_at))
+    out |= {"access_status": F.coalesce(get("access_status"), F.lit("not_checked")), "http_status": get("http_status", "int"), "verification_status": F.coalesce(get("verification_status"), F.lit("unverified")), "content_hash": get("content_hash"), "harvest_run_id": F.lit(run)}
+    out |= {f"{c}_score": get(c, "double") for c in SCORES}
+    rule, why = F.coalesce(get("rule_id"), F.lit("fallback")), F.coalesce(get("rationale"), F.lit("no rule fired; kept in the cell of its discovery"))
+    out |= {"classification": F.struct(rule.alias("rule_id"), why.alias("rationale")), "provenance": F.struct(F.col("source_id"), F.col("adapter").alias("source_adapter"))}
+    return items.select(*[v.alias(k) for k, v in out.items()])
+
+
+def evidence_projection(evidence: str) -> Column:
+    """What a record keeps of evidence: signal and matched text."""
+    return F.transform(evidence, lambda e: F.struct(e["signal"].alias("signal"), e["matched"].alias("matched")))
+
+
 def order() -> list[Column]:
     """The total order of records: topic, category and identifier, nulls first."""
     return [F.coalesce(c, F.lit("")) for c in ("topic", "category", "record_id")]

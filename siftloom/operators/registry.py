@@ -81,6 +81,44 @@ def fold(registry: DataFrame, batch: DataFrame, how: Fold) -> DataFrame:
     return per.select(how.key, done.alias("s")).select(how.key, *[F.col(f"s.{c}").alias(c) for c in f], F.col("s._n").alias("corroboration_count"), F.col("s._log").alias("conflicts"))
 
 
+#: Merge of entities: a description of a higher rank replaces the one that is there
+#: with its source; vendor, freshness and address are filled once; type and address
+#: that differ are logged; the newest measured stars count; topics are united.
+ENTITIES = Fold("entity_key", "seq", rank="description_rank", ranked=("description", "description_source"), backfill=("maintainer_or_vendor", "freshness_signal", "target_url"), guarded=("entity_type", "target_url"), latest=("github_stars",), united=("related_topics",))
+#: Merge of cases: evidence goes together and is replaced by a higher status; five
+#: fields are filled once; a reported number that differs is logged, never replaced.
+CASES = Fold("case_key", "seq", largest=("confidence",), rank="status_rank", ranked=("verification_status", "evidence_quote", "source_url", "source_title", "source_domain"), backfill=("industry", "workflow_before", "measurable_kpi", "transformation_date", "publication_date"), guarded=("kpi_value",))
+
+
+def merged_entities(registry: DataFrame, batch: DataFrame) -> DataFrame:
+    """The entity registry after a batch. Texts that say unknown are nothing; stars
+    count only for addresses that are the root of a repository; the key is the given
+    one, else topic and name."""
+    from ..functions.cleaning import ascii_key, known
+    from ..functions.urls import repository_root
+
+    def ready(d: DataFrame, measured: bool) -> DataFrame:
+        d = d.withColumns({c: known(F.col(c)) for c in ("maintainer_or_vendor", "freshness_signal", "target_url", "entity_type")})
+        key = F.coalesce(F.col("entity_key"), F.concat_ws("|", F.coalesce("topic", F.lit("unknown")), ascii_key(F.coalesce("name", F.lit("unknown")))))
+        stars = F.when(repository_root(F.col("target_url")).isNotNull() & ~F.col("target_url").rlike(r"[?#]"), F.col("github_stars")) if measured else F.col("github_stars")
+        return d.withColumns({"entity_key": key, "github_stars": stars, "description_rank": status_rank(F.replace("description_source", F.lit("-"), F.lit("_")))})
+
+    return fold(ready(registry, False), ready(batch, True), ENTITIES)
+
+
+def merged_cases(registry: DataFrame, batch: DataFrame) -> DataFrame:
+    """The case registry after a batch; the key is the given one, else company, tool
+    and what the work became."""
+    from ..functions.cleaning import ascii_key, known
+
+    def ready(d: DataFrame) -> DataFrame:
+        name = lambda c: ascii_key(F.coalesce(c, F.lit("unknown")))
+        d = d.withColumns({c: known(F.col(c)) for c in CASES.backfill})
+        return d.withColumns({"case_key": F.coalesce("case_key", F.concat_ws("|", name("company"), name("ai_system_or_tool"), name("workflow_after"))), "status_rank": status_rank(F.replace("verification_status", F.lit("-"), F.lit("_")))})
+
+    return fold(ready(registry), ready(batch), CASES)
+
+
 def status_rank(status: Column) -> Column:
     """Verified goes before a snippet, a snippet before anything else."""
     return F.when(status == "verified", 2).when(status == "snippet_only", 1).otherwise(0)

@@ -316,10 +316,27 @@ def alias_decisions(spark, sf_dir):
     return links.alias_decision(p, rules).select("page_id", "conflict", "alias_kind", "canonical_url")
 
 
-@query("SELECT page_id, 0 AS position, 'https://feeds.example.org/' || page_id AS target_url, 'T & ' || page_id AS title, '2024-01-01' AS published_at, 's' AS summary FROM pages")
+@query(
+    """SELECT page_id, k AS position, 'https://feeds.example.org/' || page_id || '/' || k AS target_url, 'T & ' || page_id || ' é–' || k AS title, CASE WHEN k = 0 THEN '2024-01-01' END AS published_at, CASE WHEN page_id % 3 = 2 THEN NULL ELSE '<b>s</b> ' || k END AS summary,
+  CASE page_id % 3 WHEN 0 THEN 'The Channel' WHEN 1 THEN 'Ann' ELSE 'dc ' || page_id END AS publisher FROM pages, (VALUES (0), (1)) v(k)"""
+)
 def feed_items(spark, sf_dir):
+    """RSS, Atom with a namespace, RDF with Dublin Core; a self link, a GUID, a relative address, an item without any."""
     pid = F.col("page_id").cast("string")
-    rss = F.concat(F.lit("<rss><channel><item><title>T &amp; "), pid, F.lit("</title><link>https://feeds.example.org/"), pid, F.lit("</link><pubDate>2024-01-01</pubDate><description>&lt;b&gt;s</description></item></channel></rss>"))
-    atom = F.concat(F.lit('<a:feed xmlns:a="x"><a:entry><a:title>T &amp; '), pid, F.lit('</a:title><a:link rel="self" href="https://no.example/"/><a:link rel="alternate" href="https://feeds.example.org/'), pid, F.lit('"/><a:updated>2024-01-01</a:updated><a:summary>s</a:summary></a:entry></a:feed>'))
-    b = table(spark, sf_dir, "pages").select("page_id", F.when(F.col("page_id") % 2 == 0, rss).otherwise(atom).alias("body"))
-    return readers.feed_items(b, "body").drop("body").withColumn("summary", F.regexp_replace("summary", "<b>", ""))
+
+    def filled(*parts):
+        return F.concat(*[pid if p is None else F.lit(p) for p in parts])
+
+    rss = filled(
+        '<?xml version="1.0" encoding="utf-8"?><rss><channel><title>The Channel</title><item><title>T &amp; ', None, " &#233;&#x2013;0</title><link>https://feeds.example.org/", None, "/0</link><pubDate>2024-01-01</pubDate><description>&lt;b&gt;s&lt;/b&gt; 0</description></item>",
+        "<item><title>no address</title></item><item><title><![CDATA[T & ", None, " é–1]]></title><guid>https://feeds.example.org/", None, "/1</guid><description><![CDATA[<b>s</b> 1]]></description></item></channel></rss>",
+    )
+    atom = filled(
+        '<a:feed xmlns:a="http://www.w3.org/2005/Atom"><a:title>F</a:title><a:author><a:name>Ann</a:name></a:author><a:entry><a:title>T &amp; ', None, ' é–0</a:title><a:link rel="self" href="https://no.example/"/><a:link rel="alternate" href="/', None, '/0"/><a:updated>2024-01-01</a:updated><a:summary>&lt;b&gt;s&lt;/b&gt; 0</a:summary></a:entry>',
+        '<a:entry><a:title>T &amp; ', None, ' é–1</a:title><a:link href="', None, '/1"/><a:content>&lt;b&gt;s&lt;/b&gt; 1</a:content></a:entry></a:feed>',
+    )
+    rdf = filled(
+        '<r:RDF xmlns:r="r" xmlns:dc="dc"><item><title>T &amp; ', None, " é–0</title><link>https://feeds.example.org/", None, "/0</link><dc:date>2024-01-01</dc:date><dc:creator>dc ", None, "</dc:creator></item><item><title>T &amp; ", None, " é–1</title><link>https://feeds.example.org/", None, "/1</link><dc:creator>dc ", None, "</dc:creator></item></r:RDF>",
+    )
+    b = table(spark, sf_dir, "pages").select("page_id", F.when(F.col("page_id") % 3 == 0, rss).when(F.col("page_id") % 3 == 1, atom).otherwise(rdf).alias("body"), F.lit("https://feeds.example.org/").alias("base"))
+    return readers.feed_items(b, "body", base="base").drop("body", "base")

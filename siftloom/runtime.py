@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -23,3 +25,21 @@ def prepare(spark: SparkSession) -> SparkSession:
     if _ROOT not in have:
         env["PYTHONPATH"] = os.pathsep.join([_ROOT, *filter(None, have)])
     return spark
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the one that ``spark.checkpoint.dir`` names, which all
+    executors reach; only in a local session that names none, a temporary one. It goes
+    when the session ends."""
+    sc = spark.sparkContext
+    root = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not root:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="siftloom-")
+        sc.setCheckpointDir(root)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/siftloom/{name}-{uuid.uuid4().hex}")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return path.toString()
