@@ -260,7 +260,7 @@ def decode_batch(t: dict, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return _spread(t["token_data"], at[flat], size), np.r_[0, np.cumsum(size)]
 
 
-# -- the lexicon -----------------------------------------------------------------
+# The lexicon.
 
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -356,7 +356,7 @@ def codec_for(docs: DataFrame, vocabulary: str = VOCABULARY, lexicon_words: int
     return build_codec(docs.sparkSession, frequent_words(docs, lexicon_words, text_col), vocabulary)
 
 
-# -- operators -------------------------------------------------------------------
+# Operators.
 
 
 def encode(docs: DataFrame, codec: Codec, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

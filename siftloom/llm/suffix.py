@@ -8,7 +8,9 @@ word, are repeats.
 To spread the sort over a cluster, every window of ``min_words`` words is given to
 its anchor, the run of 8 words with the smallest hash in it. Equal windows have
 equal anchors at equal places, so only suffixes of one anchor hash and place can
-agree that far, and anchors that a single document has need no sorting at all.
+agree that far, and anchors that a single document has need no sorting at all. An
+anchor that very many contexts have would be too much for one task to sort; its
+windows are grouped by digest instead and compared word by word.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ MIN_WORDS = 50
 SEED_WORDS = 8
 #: Bytes of contexts that are sorted together, more only where one anchor has more.
 _CHUNK_BYTES = 2 << 20
+#: Anchors with more contexts than this aren't sorted by one task: see :func:`_of_hot_anchors`.
+HOT_CONTEXTS = 50_000
 
 
 def anchors(w: Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -249,6 +253,51 @@ def _contexts(size: int):
     return run
 
 
+def _windows(size: int):
+    """Every window of the contexts of hot anchors with its text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo, hi in slices(b, 5, 1 << 17):
+                part = b.slice(lo, hi - lo)
+                w = split_words(part.column(5))
+                n = np.maximum(np.diff(w.first) - size + 1, 0)
+                row = np.repeat(np.arange(len(n)), n)
+                step = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                at = w.first[row] + step
+                raw = w.data.tobytes()
+                # words, not the white space between them, make a window
+                words = [raw[a:e] for a, e in zip(w.start.tolist(), w.end.tolist())]
+                text = pa.array([b" ".join(words[a : a + size]) for a in at.tolist()], pa.binary())
+                r = pa.array(row)
+                start = part.column(4).take(r).to_numpy() + step
+                yield pa.RecordBatch.from_arrays([part.column(1).take(r), part.column(2).take(r), pa.array(start.astype(np.int32)), text], ["r", "id", "start", "words"])
+
+    return run
+
+
+def _of_hot_anchors(contexts: DataFrame, size: int, kind: str) -> DataFrame:
+    """The same rows as :func:`_sorted` for anchors that too many contexts have for one
+    task: their windows are grouped by digest, combined before they move, and each
+    group's words are compared; groups of one digest with different words are grouped
+    by the words themselves."""
+    w = contexts.mapInArrow(_windows(size), f"r long, id {kind}, start int, words binary").withColumn("k", F.md5("words"))
+    order = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("r").alias("r"))
+
+    def firsts(rows: DataFrame, *keys: str) -> DataFrame:
+        shared = rows.groupBy(*keys).agg(F.min("r").alias("lo"), F.max("r").alias("hi"), F.min(order).alias("first"), F.min("words").alias("one"), F.max("words").alias("other"))
+        return shared.where("lo <> hi")
+
+    groups, _ = written(firsts(w, "k").select("k", "first", (F.col("one") == F.col("other")).alias("equal")), "hot-windows")
+    rows = w.select("r", "id", "start", "k").join(groups.where("equal").select("k", "first"), "k")
+    odd = groups.where("NOT equal").select("k")
+    if not odd.isEmpty():
+        mixed = w.join(odd, "k", "left_semi")
+        rows = rows.unionByName(mixed.join(firsts(mixed, "k", "words").select("k", "words", "first"), ["k", "words"]).select("k", "r", "id", "start", "first"))
+    kept = F.col("first.r") == F.col("r")
+    return rows.select("r", "id", "start", (F.col("start") + size).alias("end"), kept.alias("kept"), F.col("first.id").alias("first"))
+
+
 def _sorted(size: int):
     """Rows come in order of seed; whole seeds are taken together, in chunks."""
 
@@ -296,10 +345,16 @@ def _spans(docs: DataFrame, i: str, t: str, size: int) -> DataFrame:
     d = docs.where(F.col(t).isNotNull()).select(F.xxhash64(identity(i, t), F.col(t)).alias("r"), F.col(i).alias("id"), F.col(t).alias("text"))
     rows = d.select("r", "text").mapInArrow(_anchor_rows(size), "seed long, r long, a int, p int, q int")
     by_seed = Window.partitionBy("seed")
-    several = rows.withColumn("lo", F.min("r").over(by_seed)).withColumn("hi", F.max("r").over(by_seed)).where("lo <> hi")
-    lists = several.groupBy("r").agg(F.collect_set(F.struct("seed", "a", "p", "q")).alias("list"))
-    contexts = d.join(lists, "r").select("r", "id", "text", "list").mapInArrow(_contexts(size), f"seed long, r long, id {kind}, a int, p int, context string")
-    parts = contexts.repartition("seed").sortWithinPartitions("seed").mapInArrow(_sorted(size), f"r long, id {kind}, start int, end int, kept boolean, first {kind}")
+    several = rows.withColumns({"lo": F.min("r").over(by_seed), "hi": F.max("r").over(by_seed), "n": F.count("*").over(by_seed)}).where("lo <> hi")
+    several, _ = written(several.select("seed", "r", "a", "p", "q", (F.col("n") > HOT_CONTEXTS).alias("hot")), "anchors")
+
+    def contexts(own: DataFrame) -> DataFrame:
+        lists = own.groupBy("r").agg(F.collect_set(F.struct("seed", "a", "p", "q")).alias("list"))
+        return d.join(lists, "r").select("r", "id", "text", "list").mapInArrow(_contexts(size), f"seed long, r long, id {kind}, a int, p int, context string")
+
+    parts = contexts(several.where("NOT hot")).repartition("seed").sortWithinPartitions("seed").mapInArrow(_sorted(size), f"r long, id {kind}, start int, end int, kept boolean, first {kind}")
+    if not several.where("hot").isEmpty():
+        parts = parts.unionByName(_of_hot_anchors(contexts(several.where("hot")), size, kind))
     own = Window.partitionBy("r", "kept").orderBy("start", "end")
     reach = F.max("end").over(own.rowsBetween(Window.unboundedPreceding, -1))
     island = F.sum(F.when(F.col("reach") >= F.col("start"), 0).otherwise(1)).over(own.rowsBetween(Window.unboundedPreceding, 0))

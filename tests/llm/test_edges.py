@@ -167,3 +167,20 @@ def test_stages(spark, full, empty, labels, bench, tmp_path):
         assert out.columns[: len(full.columns)] == full.columns, name
         assert 0 < len(out.collect()) <= 13
         assert stage(spark, empty, str(tmp_path)).collect() == []
+
+
+def test_the_chain_of_stages(spark, full, empty, labels, bench, tmp_path):
+    """``run`` over nulls, empties, repeats and clashing names, and over nothing."""
+    for name, t in (("labels", labels), ("benchmark", bench)):
+        t.write.parquet(f"{tmp_path}/a/{name}.parquet")
+        t.write.parquet(f"{tmp_path}/b/{name}.parquet")
+    full.drop("bucket").write.parquet(f"{tmp_path}/a/documents.parquet")
+    empty.drop("bucket").write.parquet(f"{tmp_path}/b/documents.parquet")
+    docs = full.drop("bucket")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, f"{tmp_path}/a")
+    got = corpus_pipeline.run(spark, f"{tmp_path}/a")
+    key = lambda r: repr((r["doc_id"], r["text"], r["n_tokens"]))
+    assert sorted(map(key, got.collect())) == sorted(map(key, docs.collect())) and got.columns == docs.columns
+    assert all(r["exact"] for r in got.collect() if r["text"] is not None)
+    assert corpus_pipeline.run(spark, f"{tmp_path}/b").collect() == []

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from helpers import edited, prose
 
 from siftloom.llm import suffix
@@ -43,7 +44,9 @@ def corpus():
     return docs
 
 
-def test_spans_equal_brute_force(spark):
+@pytest.mark.parametrize("hot", [50_000, 1, 5])
+def test_spans_equal_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(suffix, "HOT_CONTEXTS", hot)
     docs = corpus()
     for size in (50, 7):
         d = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(4)
@@ -54,6 +57,20 @@ def test_spans_equal_brute_force(spark):
         assert (dict(kept), dict(gone)) == brute(docs, size)
 
 
+def test_hot_anchors_with_one_digest(spark, monkeypatch):
+    """Different windows whose digests are equal are told apart by their words."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(suffix, "HOT_CONTEXTS", 1)
+    monkeypatch.setattr(suffix.F, "md5", lambda c: F.substring(F.hex(F.lit("same")), 1, 4))
+    docs = {k: t for k, t in corpus().items() if k % 3 == 0}
+    d = spark.createDataFrame([*docs.items()], "doc_id long, text string").repartition(3)
+    kept, gone = collections.defaultdict(set), collections.defaultdict(set)
+    for r in suffix.repeated_spans(d, 20).collect():
+        (kept if r["kept"] else gone)[r["doc_id"]].update(range(r["start_word"], r["end_word"]))
+    assert (dict(kept), dict(gone)) == brute(docs, 20)
+
+
 def test_dropping_leaves_the_first(spark):
     rng = random.Random(2)
     p = prose(rng, 60, False)
