@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftloom.llm import bpe, decontaminate, lines, neardup, quality
-from siftloom.llm.common import scratch, table
+from siftloom.llm.common import expire, remove, scratch, table
 
 ORACLE_SQL = None
 
@@ -54,10 +54,14 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``. What a stage wrote goes when the next one has
+    read it; the last one's result goes when the session ends."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for k, (_, stage) in enumerate(STAGES):
         path = scratch(spark, f"stage{k}")
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        expire(spark, path)
+        if before:
+            remove(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs

@@ -138,7 +138,7 @@ def counted(registry: DataFrame, by: Sequence[str]) -> DataFrame:
     return registry.select(F.inline(pairs)).groupBy("dimension", "value").agg(F.count("*").alias("n"))
 
 
-# -- shards and matrices ------------------------------------------------------------
+# Shards and matrices.
 
 
 def union_preserving(shards: DataFrame, union: DataFrame, key: str) -> DataFrame:

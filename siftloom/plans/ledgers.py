@@ -105,7 +105,7 @@ def link_history_append(spark, sf_dir):
     return ledger.link_history(c, "link").select(F.col("check_id").alias("event_id"), "place", "changed_materially")
 
 
-# -- ordered folds -------------------------------------------------------------------
+# Ordered folds.
 
 
 def _cases(spark, sf_dir):
@@ -217,7 +217,7 @@ def domain_overrides(spark, sf_dir):
     return registry.suffix_lookup(h, "host", o, "concurrency").select("page_id", "host", F.coalesce("concurrency", F.lit(1)).alias("concurrency"))
 
 
-# -- caps ----------------------------------------------------------------------------
+# Caps.
 
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_linenumber) AS n FROM lineitem) WHERE n = 1")

@@ -242,7 +242,7 @@ def request_accounting(spark, sf_dir):
     return records.request_totals(r, "l_partkey", "lane_id")
 
 
-# -- sources ---------------------------------------------------------------------------
+# Sources.
 
 
 @query(
