@@ -92,7 +92,7 @@ def decide(scored: DataFrame, policy: Policy = Policy()) -> DataFrame:
     blank = lambda c: F.coalesce(F.trim(c) == "", F.lit(True))
     four = lambda c: F.format_string("%.4f", c)
     gates = [(c, n, F.coalesce(F.col(c) < bar(n), F.lit(True))) for c, n in (("relevance", "min_relevance"), ("quality", "min_quality"), ("audience_fit", "min_audience_fit"), ("composite", "accept_composite"))]
-    text = lambda c, n, sign: F.concat(F.lit(f"{c} "), F.coalesce(four(F.col(c)), F.lit("unknown")), F.lit(f" {sign} {n} "), four(bar(n)))
+    text = lambda c, n, sign: F.concat(F.lit(f"{c} "), F.when(F.col(c).isNotNull(), four(F.col(c))).otherwise("unknown"), F.lit(f" {sign} {n} "), four(bar(n)))
     off = F.col("has_required") & (F.col("required_hits") == 0)
     reason = (
         F.when(F.col("excluded") & F.col("developer_only"), REASONS[0])

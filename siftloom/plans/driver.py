@@ -262,18 +262,18 @@ def first_hits(spark, sf_dir):
     return kept.select("doc_id", "e.signal", "e.field", "e.matched")
 
 
-@query("WITH x AS (SELECT doc_id, unnest(['en', 'de']) AS signal FROM documents WHERE doc_id % 2 = 0) SELECT doc_id, string_agg(signal || '=' || doc_id, ',' ORDER BY signal DESC) AS evidence FROM x GROUP BY 1")
+@query("WITH x AS (SELECT doc_id, unnest(['en', 'de']) AS signal FROM documents) SELECT doc_id, string_agg(signal || '=' || doc_id, ',' ORDER BY signal DESC) AS evidence FROM x GROUP BY 1")
 def evidence_projection(spark, sf_dir):
     n = F.col("doc_id").cast("string")
     e = lambda s: F.struct(F.lit(s).alias("signal"), F.lit("text").alias("field"), n.alias("matched"), F.lit(3).alias("offset"))
-    d = table(spark, sf_dir, "documents").where("doc_id % 2 = 0").select("doc_id", F.array(e("en"), e("de")).alias("evidence"))
+    d = table(spark, sf_dir, "documents").select("doc_id", F.array(e("en"), e("de")).alias("evidence"))
     return d.select("doc_id", F.array_join(F.transform(records.evidence_projection("evidence"), lambda x: F.concat(x["signal"], F.lit("="), x["matched"])), ",").alias("evidence"))
 
 
-@query("SELECT 'src' || page_id % 7 AS source_id, page_id AS position, true AS conflict FROM pages WHERE page_id % 5 = 0 UNION ALL SELECT 'src' || page_id % 7, page_id, false FROM pages WHERE page_id % 5 <> 0")
+@query("SELECT p || page_id % 7 AS source_id, page_id AS position, page_id % 5 = 0 AS conflict FROM pages, (VALUES ('src'), ('alt')) v(p)")
 def delivery_conflicts(spark, sf_dir):
-    """Two lanes deliver the same observation; every fifth time with another title."""
-    d = deliveries(spark, sf_dir).where("lane_id = 'lane0'").select("source_id", "position", "target_url", "lane_id", "title")
+    """A third lane delivers every observation again, each fifth time with another title."""
+    d = deliveries(spark, sf_dir).select("source_id", "position", "target_url", "lane_id", "title")
     again = d.withColumns({"lane_id": F.lit("lane9"), "title": F.when(F.col("position") % 5 == 0, F.concat("title", F.lit("!"))).otherwise(F.col("title"))})
     return dedupe.observations(d.unionByName(again), ["title"]).select("source_id", "position", "conflict")
 
@@ -339,7 +339,7 @@ SELECT coalesce(tier, 'evergreen') AS tier, count(*) AS strategies, CAST(sum(y)
 def tier_yield(spark, sf_dir):
     from ..operators import policies
 
-    tiers = table(spark, sf_dir, "nation").where("n_nationkey % 3 < 2").select(F.col("n_nationkey").alias("c_nationkey"), F.when(F.col("n_nationkey") % 3 == 0, "news").otherwise("evergreen").alias("tier"))
+    tiers = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.when(F.col("n_nationkey") % 3 == 0, "news").when(F.col("n_nationkey") % 3 == 1, "evergreen").alias("tier"))
     y = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("y"), F.count_if(F.col("o_orderstatus") == "F").alias("v"))
     s = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey").join(y, "c_custkey", "left")
     t = policies.tiers(s, tiers, "c_nationkey").groupBy("tier")

@@ -68,11 +68,12 @@ def kpi_verified(spark, sf_dir):
     return policies.verified(s, "l_orderkey")
 
 
-@query("SELECT n_name, coalesce(string_agg(CAST(s_suppkey AS VARCHAR), ',' ORDER BY s_suppkey), '') AS keys FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey AND s_suppkey % 3 = 0 GROUP BY 1")
+@query("SELECT n_name, coalesce(string_agg(CAST(s_suppkey AS VARCHAR), ',' ORDER BY s_suppkey), '') AS keys FROM (SELECT n_name, n_nationkey FROM nation UNION ALL SELECT 'no ' || r_name, -1 FROM region) n LEFT JOIN supplier ON s_nationkey = n_nationkey GROUP BY 1")
 def pattern_index(spark, sf_dir):
     n = table(spark, sf_dir, "nation")
-    s = table(spark, sf_dir, "supplier").where("s_suppkey % 3 = 0").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select("n_name", "s_suppkey")
-    return policies.index_of(n, s, "n_name", "s_suppkey").select("n_name", F.array_join(F.transform("keys", lambda k: k.cast("string")), ",").alias("keys"))
+    s = table(spark, sf_dir, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select("n_name", "s_suppkey")
+    unused = table(spark, sf_dir, "region").select(F.concat(F.lit("no "), F.col("r_name")).alias("n_name"))
+    return policies.index_of(n.select("n_name").unionByName(unused), s, "n_name", "s_suppkey").select("n_name", F.array_join(F.transform("keys", lambda k: k.cast("string")), ",").alias("keys"))
 
 
 _MATCH = "regexp_replace(regexp_replace(lower(regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.\\-]*://', '')), '^www\\.', ''), '/+$', '')"
