@@ -26,7 +26,7 @@ def observations(deliveries: DataFrame, payload: list[str], keep: list[str] = []
         .agg(
             F.array_sort(F.collect_set("lane_id")).alias("lane_ids"),
             F.min(one).alias("_p"),
-            (F.min(F.xxhash64(one)) != F.max(F.xxhash64(one))).alias("conflict"),
+            (~F.min(one).eqNullSafe(F.max(one))).alias("conflict"),
             *[F.min(c).alias(c) for c in keep],
         )
         .select("source_id", "position", "target_url", "lane_ids", "conflict", *[F.col(f"_p.{c}").alias(c) for c in payload], *keep)

@@ -157,6 +157,13 @@ def test_streaming_ledger(spark, tmp_path):
     sink.start(stream, str(tmp_path / "cp")).awaitTermination(120)
     got = {r["k"]: (r["seen_count"], r["outcome"]) for r in sink.version(2).collect()}
     assert got == {"a": (2, "accepted"), "b": (1, "pending")}
+    assert sink.manifest(2).keys() > sink.manifest(1).keys() and set(sink.manifest(1).values()) == {1}
+    more = spark.createDataFrame([("b", "rejected")], "k string, outcome string").select("k", F.lit("2024-01-05").cast("timestamp").alias("seen_at"), "outcome")
+    for epoch in (2, 2, 3, 4, 5):  # replaying a batch changes nothing; only b's bucket is written
+        sink.write(more, epoch)
+    last = {r["k"]: (r["seen_count"], r["outcome"], r["outcome_conflict"]) for r in sink.version(6).collect()}
+    assert last == {"a": (2, "accepted", False), "b": (5, "rejected", False)} and sorted(sink.manifest(6).values()) == [2, 6]
+    assert sorted(p.name for p in (tmp_path / "ledger").iterdir() if p.name[0] == "v") == ["v00000002", "v00000004", "v00000005", "v00000006"]
     q = weekly_yield(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), "seen_at", "k").writeStream.format("memory").queryName("weeks").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert spark.sql("SELECT sum(n) FROM weeks").first()[0] == 3
