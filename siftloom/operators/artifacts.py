@@ -66,15 +66,17 @@ def eligibility(mode: str, cell_rows: DataFrame, records: DataFrame, fetch_owner
     """(eligible, reason): one row. In their order: a run that isn't a harvest, one
     that fetched nothing, failed cells (named in order), full records that nobody
     checked. Fetches are needed and not enough."""
-    broken = cell_rows.where(F.col("status").isin("infrastructure_error", "adapter_error")).agg(F.array_sort(F.collect_set("cell_id")).alias("broken"))
-    rest = unchecked(records)
-    reason = (
-        F.when(F.lit(mode != "harvest"), F.lit(f"{mode} runs are tests"))
-        .when(F.lit(fetch_owners == 0), F.lit("no target page was fetched"))
-        .when(F.size("broken") > 0, F.concat(F.lit("failed: "), F.array_join("broken", ", ")))
-        .when(F.col("unchecked") > 0, F.concat(F.col("unchecked").cast("string"), F.lit(" of "), F.col("total").cast("string"), F.lit(" records not checked")))
-    )
-    return broken.crossJoin(rest).select(reason.isNull().alias("eligible"), reason.alias("reason"))
+    failed = cell_rows.where(F.col("status").isin("infrastructure_error", "adapter_error")).select("cell_id").distinct()
+    if mode != "harvest":
+        reason = f"{mode} runs are tests"
+    elif not fetch_owners:
+        reason = "no target page was fetched"
+    elif broken := sorted(r["cell_id"] for r in failed.collect()):  # as bounded as the configuration
+        reason = f"failed: {', '.join(broken)}"
+    else:
+        n = unchecked(records).first()
+        reason = f"{n['unchecked']} of {n['total']} records not checked" if n["unchecked"] else None
+    return cell_rows.sparkSession.createDataFrame([(reason is None, reason)], "eligible boolean, reason string")
 
 
 def alias_conflicts(conflicts: DataFrame, detected_at: str) -> DataFrame:

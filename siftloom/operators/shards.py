@@ -84,7 +84,7 @@ def duplicate_groups(rows: DataFrame, key: str) -> DataFrame:
     sizes = n.groupBy("n").agg(F.count("*").alias("_c"))
     before = sizes.select("n", (F.sum("_c").over(Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1))).alias("_b"))
     own = F.row_number().over(Window.partitionBy("n").orderBy(key))
-    return n.withColumn("_r", own).join(F.broadcast(before), "n").select(key, "n", (F.coalesce("_b", F.lit(0)) + F.col("_r")).alias("place"))
+    return n.withColumn("_r", own).join(before, "n").select(key, "n", (F.coalesce("_b", F.lit(0)) + F.col("_r")).alias("place"))
 
 
 def rounds_in_order(rounds: Column) -> Column:

@@ -269,7 +269,7 @@ def record_facet_problems(records: DataFrame, live: DataFrame, known: DataFrame,
     )
     unmapped = F.transform(F.filter("facets.unresolved", lambda u: u["state"] == "unmapped_legacy_value"), lambda u: F.lower(u["term"]))
     a = own.select("record_id", unmapped.alias("_un"), F.explode("facets.asserted").alias("a")).select("record_id", "_un", "a.*")
-    a = a.join(F.broadcast(known.select("axis", "slug", F.lit(True).alias("_known")).distinct()), ["axis", "slug"], "left").join(F.broadcast(live.select("axis", "slug", F.lit(True).alias("_live")).distinct()), ["axis", "slug"], "left")
+    a = a.join(known.select("axis", "slug", F.lit(True).alias("_known")).distinct(), ["axis", "slug"], "left").join(live.select("axis", "slug", F.lit(True).alias("_live")).distinct(), ["axis", "slug"], "left")
     mentioned = F.exists("evidence", lambda e: F.contains(F.lower(e["quote"]), F.lower(e["term"])))
     third = report(
         a,

@@ -106,7 +106,7 @@ SELECT 1 AS round, 'cell__a,cell__b' AS lanes, 0 AS new_accepted, NULL AS stop_r
 )
 def adaptive_rounds(spark, sf_dir):
     """Cells, then the best gaps, then the next ones, which bring nothing."""
-    c = table(spark, sf_dir, "customer").join(F.broadcast(table(spark, sf_dir, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
+    c = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     g = c.groupBy(F.col("n_name").alias("slug"), "n_nationkey").agg(F.count("*").cast("double").alias("score"))
     g = g.select(F.lit("nation").alias("axis"), "slug", "score", F.concat(F.lit("gap__nation__"), F.col("slug")).alias("lane_id"), F.when(F.col("n_nationkey") % 3 == 0, "no_credible_source").alias("not_opened_reason"))
     done: list[str] = []

@@ -178,8 +178,8 @@ SELECT page_id, coalesce(allow, 1) = 1 AS allowed FROM p LEFT JOIN m USING (page
 )
 def robots_longest_match(spark, sf_dir):
     p = table(spark, sf_dir, "pages").select("page_id", "url", urls.host(F.col("url")).alias("h"))
-    rules = spark.createDataFrame(_ROBOTS, "x string, agent string, pattern string, allow boolean")
-    r = p.select(F.col("h").alias("host")).distinct().crossJoin(rules).drop("x")
+    rules = F.array(*[F.struct(F.lit(a).alias("agent"), F.lit(pat).alias("pattern"), F.lit(ok).alias("allow")) for _, a, pat, ok in _ROBOTS])
+    r = p.select(F.col("h").alias("host")).distinct().select("host", F.inline(rules))
     return links.robots_allowed(p, "url", r, "siftbot/1.0").select("page_id", "allowed")
 
 

@@ -82,8 +82,8 @@ SELECT 'smoke' AS run, false AS eligible, 'smoke runs are tests' AS reason UNION
 )
 def publication_eligibility(spark, sf_dir):
     r = _records(spark, sf_dir)
-    first = r.agg(F.min("category").alias("m"))
-    cells = r.select("cell_id", "category").distinct().crossJoin(F.broadcast(first)).select("cell_id", F.when(F.col("category") == F.col("m"), "adapter_error").otherwise("ok").alias("status"))
+    first = r.agg(F.min("category")).first()[0]
+    cells = r.select("cell_id", "category").distinct().select("cell_id", F.when(F.col("category") == first, "adapter_error").otherwise("ok").alias("status"))
     fine = cells.withColumn("status", F.lit("ok"))
     checked = r.withColumn("access_status", F.when(F.col("record_type") == "full", F.lit("ok")))
     runs = {"smoke": ("smoke", cells, r, 1), "unfetched": ("harvest", cells, r, 0), "broken": ("harvest", cells, r, 1), "unchecked": ("harvest", fine, r, 1), "good": ("harvest", fine, checked, 1)}
@@ -253,7 +253,7 @@ def rejection_entries(spark, sf_dir):
 @query("SELECT row_number() OVER (ORDER BY gap DESC, slug) AS place, 'gap__nation__' || slug AS lane_id FROM (SELECT n_name AS slug, count(*) AS gap FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE n_nationkey % 4 <> 0 GROUP BY 1) ORDER BY 1 LIMIT 5")
 def lane_plan(spark, sf_dir):
     """The lanes that a round opens: a top-k report over the gaps that have a source."""
-    c = table(spark, sf_dir, "customer").join(F.broadcast(table(spark, sf_dir, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
+    c = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     g = c.groupBy(F.col("n_name").alias("slug"), "n_nationkey").agg(F.count("*").alias("score"))
     ranked = g.select(F.lit("nation").alias("axis"), "slug", F.col("score").cast("double").alias("score"), F.concat(F.lit("gap__nation__"), F.col("slug")).alias("lane_id"), F.when(F.col("n_nationkey") % 4 == 0, "no_credible_source").alias("not_opened_reason"))
     opened, _ = schedule.plan_lanes(ranked, 5)

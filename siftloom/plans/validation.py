@@ -240,8 +240,8 @@ def run_violations(spark, sf_dir):
     r = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("t"), (n % 2).cast("string")).alias("topic"), F.col("source").alias("category"), F.concat(F.lit("https://d.example.org/"), n.cast("string")).alias("identity_url"))
     r = r.withColumns({"record_id": F.when(n % 19 == 0, "wrong").otherwise(urls.record_id(F.col("topic"), F.col("identity_url"))), "cell_id": F.when(n % 23 == 0, "lost").otherwise(F.concat_ws("__", "topic", "category")), "harvest_run_id": F.when(n % 29 == 0, "run0").otherwise("run1"), "record_type": F.lit("full")})
     have = r.groupBy("cell_id").agg(F.count("*").alias("have"))
-    first = table(spark, sf_dir, "documents").agg(F.min("source").alias("m"))
-    cells = r.select(F.concat_ws("__", "topic", "category").alias("cell_id"), "category").distinct().join(have, "cell_id", "left").crossJoin(F.broadcast(first)).select("cell_id", F.when(F.col("category") == F.col("m"), F.lit(0).cast("long")).otherwise(F.coalesce("have", F.lit(0))).alias("total_records"))
+    first = table(spark, sf_dir, "documents").agg(F.min("source")).first()[0]
+    cells = r.select(F.concat_ws("__", "topic", "category").alias("cell_id"), "category").distinct().join(have, "cell_id", "left").select("cell_id", F.when(F.col("category") == first, F.lit(0).cast("long")).otherwise(F.coalesce("have", F.lit(0))).alias("total_records"))
     seen = have.select("cell_id", (F.col("have") + F.when(F.col("cell_id").startswith("t1"), 1).otherwise(0)).alias("observations"), F.col("have").alias("unique_candidates"), F.lit(0).alias("repeats"))
     names = lambda *x: spark.createDataFrame([(v,) for v in x], "name string")
     return validate.run_problems(r, cells, seen, names("coverage.json", "stray.json"), names("coverage.json", "manifest.json"), "run1")
