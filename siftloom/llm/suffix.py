@@ -33,6 +33,8 @@ SEED_WORDS = 8
 _CHUNK_BYTES = 2 << 20
 #: Anchors with more contexts than this aren't sorted by one task: see :func:`_of_hot_anchors`.
 HOT_CONTEXTS = 50_000
+#: Such anchors up to this many are broadcast; for more their contexts are joined.
+HOT_SEEDS = 1_000_000
 
 
 def anchors(w: Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -253,35 +255,64 @@ def _contexts(size: int):
     return run
 
 
+def _expanded(w: Words, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which range, word number) of every window in ranges of first windows."""
+    n = last - first + 1
+    row = np.repeat(np.arange(len(n)), n)
+    return row, np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+
+
+def _words_of(w: Words, at: np.ndarray, size: int) -> pa.Array:
+    """The words of windows, whatever white space stood between them."""
+    raw = w.data.tobytes()
+    words = [raw[a:e] for a, e in zip(w.start.tolist(), w.end.tolist())]
+    return pa.array([b" ".join(words[a : a + size]) for a in at.tolist()], pa.binary())
+
+
+def _windows_of_seeds(size: int, held):
+    """Every window whose anchor is one of the (sorted) seeds, from the documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seeds = held.value
+        for b in batches:
+            for lo, hi in slices(b, 2, 1 << 17):
+                part = b.slice(lo, hi - lo)
+                w = split_words(part.column(2))
+                _, p, q, seed = anchors(w, size)
+                seed = seed.view(np.int64)
+                hot = np.flatnonzero(seeds[np.minimum(np.searchsorted(seeds, seed), len(seeds) - 1)] == seed)
+                if not len(hot):
+                    continue
+                _, at = _expanded(w, p[hot], q[hot])
+                doc = w.doc[at]
+                r = pa.array(doc)
+                yield pa.RecordBatch.from_arrays([part.column(0).take(r), part.column(1).take(r), pa.array((at - w.first[doc]).astype(np.int32)), _words_of(w, at, size)], ["r", "id", "start", "words"])
+
+    return run
+
+
 def _windows(size: int):
-    """Every window of the contexts of hot anchors with its text."""
+    """Every window of contexts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi in slices(b, 5, 1 << 17):
                 part = b.slice(lo, hi - lo)
                 w = split_words(part.column(5))
-                n = np.maximum(np.diff(w.first) - size + 1, 0)
-                row = np.repeat(np.arange(len(n)), n)
-                step = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-                at = w.first[row] + step
-                raw = w.data.tobytes()
-                # words, not the white space between them, make a window
-                words = [raw[a:e] for a, e in zip(w.start.tolist(), w.end.tolist())]
-                text = pa.array([b" ".join(words[a : a + size]) for a in at.tolist()], pa.binary())
+                row, at = _expanded(w, w.first[:-1], np.maximum(w.first[1:] - size, w.first[:-1] - 1))
                 r = pa.array(row)
-                start = part.column(4).take(r).to_numpy() + step
-                yield pa.RecordBatch.from_arrays([part.column(1).take(r), part.column(2).take(r), pa.array(start.astype(np.int32)), text], ["r", "id", "start", "words"])
+                start = part.column(4).take(r).to_numpy() + at - w.first[row]
+                yield pa.RecordBatch.from_arrays([part.column(1).take(r), part.column(2).take(r), pa.array(start.astype(np.int32)), _words_of(w, at, size)], ["r", "id", "start", "words"])
 
     return run
 
 
-def _of_hot_anchors(contexts: DataFrame, size: int, kind: str) -> DataFrame:
+def _of_hot_anchors(windows: DataFrame, size: int) -> DataFrame:
     """The same rows as :func:`_sorted` for anchors that too many contexts have for one
-    task: their windows are grouped by digest, combined before they move, and each
-    group's words are compared; groups of one digest with different words are grouped
-    by the words themselves."""
-    w = contexts.mapInArrow(_windows(size), f"r long, id {kind}, start int, words binary").withColumn("k", F.md5("words"))
+    task: their windows (r, id, start, words) are grouped by digest, combined before
+    they move, and each group's words are compared; groups of one digest with
+    different words are grouped by the words themselves."""
+    w = windows.withColumn("k", F.md5("words"))
     order = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("r").alias("r"))
 
     def firsts(rows: DataFrame, *keys: str) -> DataFrame:
@@ -353,8 +384,15 @@ def _spans(docs: DataFrame, i: str, t: str, size: int) -> DataFrame:
         return d.join(lists, "r").select("r", "id", "text", "list").mapInArrow(_contexts(size), f"seed long, r long, id {kind}, a int, p int, context string")
 
     parts = contexts(several.where("NOT hot")).repartition("seed").sortWithinPartitions("seed").mapInArrow(_sorted(size), f"r long, id {kind}, start int, end int, kept boolean, first {kind}")
-    if not several.where("hot").isEmpty():
-        parts = parts.unionByName(_of_hot_anchors(contexts(several.where("hot")), size, kind))
+    hot = several.where("hot").select("seed").distinct()
+    if n := hot.count():
+        schema = f"r long, id {kind}, start int, words binary"
+        if n <= HOT_SEEDS:  # the documents are read again, their texts don't move
+            held = docs.sparkSession.sparkContext.broadcast(np.sort(hot.toArrow()["seed"].to_numpy()))
+            windows = d.mapInArrow(_windows_of_seeds(size, held), schema)
+        else:
+            windows = contexts(several.where("hot")).mapInArrow(_windows(size), schema)
+        parts = parts.unionByName(_of_hot_anchors(windows, size))
     own = Window.partitionBy("r", "kept").orderBy("start", "end")
     reach = F.max("end").over(own.rowsBetween(Window.unboundedPreceding, -1))
     island = F.sum(F.when(F.col("reach") >= F.col("start"), 0).otherwise(1)).over(own.rowsBetween(Window.unboundedPreceding, 0))

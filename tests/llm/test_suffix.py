@@ -44,9 +44,10 @@ def corpus():
     return docs
 
 
-@pytest.mark.parametrize("hot", [50_000, 1, 5])
-def test_spans_equal_brute_force(spark, monkeypatch, hot):
+@pytest.mark.parametrize(("hot", "seeds"), [(50_000, 10**6), (1, 10**6), (5, 10**6), (1, 0), (5, 0)])
+def test_spans_equal_brute_force(spark, monkeypatch, hot, seeds):
     monkeypatch.setattr(suffix, "HOT_CONTEXTS", hot)
+    monkeypatch.setattr(suffix, "HOT_SEEDS", seeds)
     docs = corpus()
     for size in (50, 7):
         d = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(4)
