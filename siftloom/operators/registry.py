@@ -2,15 +2,17 @@
 
 Batch rows meet the registry one after another: a key that comes twice in a batch
 corroborates twice, and conflicts are logged against the value held at that moment.
-The fold runs inside the JVM over each key's rows sorted by their sequence.
+What a fold leaves follows from firsts, lasts and maxima by the sequence, so it is
+computed by partial aggregation, in time linear in the rows whatever a key's share.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -38,47 +40,68 @@ class Fold:
 
 def fold(registry: DataFrame, batch: DataFrame, how: Fold) -> DataFrame:
     """The registry after the batch: key, fields, ``corroboration_count`` and the
-    ``conflicts`` log (seq, field, existing, incoming).
+    ``conflicts`` log (seq, field, existing, incoming), in order of ``seq``.
 
     A registry row may carry ``corroboration_count`` (1 if not); it comes before the
-    batch rows of its key. Rows without a key are left out.
+    batch rows of its key. Rows of one sequence go by their values. Rows without a key
+    are left out. Both inputs are read up to three times, so a registry that has met
+    many batches is better written between them.
     """
     f = how.fields
     cnt = F.col("corroboration_count") if "corroboration_count" in registry.columns else F.lit(1)
-    pick = lambda d, side, n: d.where(F.col(how.key).isNotNull()).select(how.key, F.struct(F.lit(side).alias("_side"), F.col(how.seq).alias("_seq"), n.cast("int").alias("_n"), *[F.col(c).alias(c) for c in f]).alias("r"))
+    pick = lambda d, side, n: d.where(F.col(how.key).isNotNull()).select(how.key, F.lit(side).alias("_side"), F.col(how.seq).alias("_seq"), n.cast("int").alias("_n"), *[F.col(c).alias(f"_f_{c}") for c in f])
     rows = pick(registry, 0, cnt).unionByName(pick(batch, 1, F.lit(1)))
     kind = registry.schema[how.seq].dataType.simpleString()
     log = f"array<struct<seq:{kind},field:string,existing:string,incoming:string>>"
-
-    def state(v: dict[str, Column], n: Column, conflicts: Column) -> Column:
-        return F.struct(*[v[c].alias(c) for c in f], n.alias("_n"), conflicts.alias("_log"))
-
-    def step(s: Column, r: Column) -> Column:
-        v = {c: s[c] for c in f}
-        notes = []
-        for c in how.largest:
-            v[c] = F.greatest(s[c], r[c])
-        for c in how.united:
-            v[c] = F.array_sort(F.array_distinct(F.concat(F.coalesce(s[c], F.array()), F.coalesce(r[c], F.array()))))
-        for c in how.latest:
-            v[c] = F.coalesce(r[c], s[c])
-        for c in how.guarded:
-            clash = s[c].isNotNull() & r[c].isNotNull() & (s[c] != r[c])
-            notes.append(F.when(clash, F.struct(r["_seq"].alias("seq"), F.lit(c).alias("field"), s[c].cast("string").alias("existing"), r[c].cast("string").alias("incoming"))))
-        for c in how.backfill:
-            v[c] = F.coalesce(s[c], r[c])
-        if how.rank:
-            up = F.coalesce(r[how.rank], F.lit(0)) > F.coalesce(s[how.rank], F.lit(0))
-            for c in (how.rank, *how.ranked):
-                v[c] = F.when(up, r[c]).otherwise(s[c])
-        more = F.array_compact(F.array(*notes)).cast(log) if notes else F.array().cast(log)
-        return state(v, s["_n"] + r["_n"], F.concat(s["_log"], more))
-
-    per = rows.groupBy(how.key).agg(F.array_sort(F.collect_list("r")).alias("rs"))
-    first = F.col("rs")[0]
-    begin = {c: F.array_sort(F.array_distinct(F.coalesce(first[c], F.array()))) if c in how.united else first[c] for c in f}
-    done = F.aggregate(F.slice("rs", 2, F.size("rs")), state(begin, first["_n"], F.array().cast(log)), step)
-    return per.select(how.key, done.alias("s")).select(how.key, *[F.col(f"s.{c}").alias(c) for c in f], F.col("s._n").alias("corroboration_count"), F.col("s._log").alias("conflicts"))
+    order = ["_side", "_seq", "_n", *[f"_f_{c}" for c in f]]
+    kept = lambda c, over=lambda a: a: _kept(how, c, F.struct(*order), over)
+    count = F.when(F.count("_n") == F.count("*"), F.sum("_n")).cast("int")
+    state = rows.groupBy(how.key).agg(*[kept(c).alias(c) for c in f], count.alias("corroboration_count"))
+    if not how.guarded:
+        return state.withColumn("conflicts", F.array().cast(log))
+
+    g = list(dict.fromkeys(how.guarded))
+    either = lambda found: reduce(lambda a, b: a | b, found)
+    if any(_moves(how, c) for c in g):
+        before = Window.partitionBy(how.key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        met = rows.withColumns({f"_held_{c}": F.when(F.count("*").over(before) > 0, kept(c, lambda a: a.over(before))) for c in g})
+    else:  # what is held is what the key ends with; the log is collected where the join has put its rows
+        held = rows.groupBy(how.key).agg(*[kept(c).alias(f"_held_{c}") for c in g])
+        known = rows.where(either([F.col(f"_f_{c}").isNotNull() for c in g]))
+        met = known.select(how.key, "_side", "_seq", "_n", *[f"_f_{c}" for c in g]).repartition(how.key).join(held, how.key)
+    clash = lambda c, r: r[f"_held_{c}"].isNotNull() & r[f"_f_{c}"].isNotNull() & (r[f"_held_{c}"] != r[f"_f_{c}"])
+    met = met.select(how.key, F.struct("_side", "_seq", "_n", *[f"_f_{c}" for c in g], *[f"_held_{c}" for c in g]).alias("r"))
+    met = met.where(either([clash(c, F.col("r")) for c in g]))
+    logs = met.groupBy(how.key).agg(F.array_sort(F.collect_list("r")).alias("_log"))
+    note = lambda c, r: F.when(clash(c, r), F.struct(r["_seq"].alias("seq"), F.lit(c).alias("field"), r[f"_held_{c}"].cast("string").alias("existing"), r[f"_f_{c}"].cast("string").alias("incoming")))
+    notes = F.flatten(F.transform("_log", lambda r: F.array_compact(F.array(*[note(c, r) for c in g])))).cast(log)
+    return state.join(logs, how.key, "left").select(how.key, *f, "corroboration_count", F.coalesce(notes, F.array().cast(log)).alias("conflicts"))
+
+
+def _ranked(how: Fold, c: str) -> bool:
+    return bool(how.rank) and c in (how.rank, *how.ranked)
+
+
+def _moves(how: Fold, c: str) -> bool:
+    """Whether a known value of the field may give way to another."""
+    return _ranked(how, c) or (c not in how.backfill and c in (*how.latest, *how.united, *how.largest))
+
+
+def _kept(how: Fold, c: str, order: Column, over: Callable[[Column], Column]) -> Column:
+    """What a key's rows leave of a field, by an aggregate (``over`` them or a window).
+    No row waits for the one before it, so a history is never gathered in one place."""
+    v = F.col(f"_f_{c}")
+    if _ranked(how, c):  # a rank must be exceeded, so the first row of the highest one
+        return over(F.min_by(v, F.struct(-F.coalesce(F.col(f"_f_{how.rank}"), F.lit(0)), order)))
+    if c in how.backfill:
+        return over(F.min_by(v, F.when(v.isNotNull(), order)))
+    if c in how.latest:
+        return over(F.max_by(v, F.when(v.isNotNull(), order)))
+    if c in how.united:
+        return F.array_sort(F.array_distinct(F.flatten(over(F.collect_set(v)))))
+    if c in how.largest:
+        return over(F.max(v))
+    return over(F.min_by(v, order))
 
 
 #: Merge of entities: a description of a higher rank replaces the one that is there

@@ -1,5 +1,7 @@
 """Operators on small hand-made cases: ties, nulls, repeats, empty tables."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,6 +60,23 @@ def test_fold_meets_the_evolving_value(spark):
     assert registry.fold(base.limit(0), batch.limit(0), how).count() == 0
 
 
+def test_fold_of_one_long_history(spark):
+    """A key with 50,000 conflicting rows: linear, where copying the log at each row took minutes."""
+    n = 50_000
+    d = spark.range(n).select(F.lit("a").alias("k"), F.col("id").alias("seq"), F.col("id").cast("string").alias("v"), F.when(F.col("id") == n // 2, "w").alias("w"))
+    t = time.monotonic()
+    r = registry.fold(d.limit(0), d.repartition(4), registry.Fold("k", "seq", guarded=["v"], latest=["w"])).select("v", "w", "corroboration_count", F.size("conflicts"), F.col("conflicts")[n - 2]).first()
+    assert (*r[:4], tuple(r[4])) == ("0", "w", n, n - 1, (n - 1, "v", "0", str(n - 1)))
+    assert time.monotonic() - t < 60
+
+
+def test_fold_logs_against_the_moving_value(spark):
+    d = spark.createDataFrame([("a", 1, None, 1), ("a", 2, "x", 5), ("a", 3, "y", 2), ("a", 4, None, 7), ("a", 5, "x", 7)], "k string, seq int, s string, n int")
+    r = registry.fold(d.limit(0), d, registry.Fold("k", "seq", guarded=["s", "n"], latest=["s"], largest=["n"])).first()
+    assert (r["s"], r["n"]) == ("x", 7)
+    assert [tuple(c) for c in r["conflicts"]] == [(2, "n", "1", "5"), (3, "s", "x", "y"), (3, "n", "5", "2"), (4, "n", "5", "7"), (5, "s", "y", "x")]
+
+
 def test_ranked_bundle(spark):
     how = registry.Fold("k", "seq", rank="r", ranked=["q"])
     rows = spark.createDataFrame([("a", 1, 1, "snippet"), ("a", 2, 1, "other"), ("a", 3, 2, "full"), ("a", 4, None, "none")], "k string, seq int, r int, q string")
