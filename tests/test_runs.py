@@ -1,6 +1,7 @@
 """Refusals and edges of configuration, scans, fetch rows, artifacts, shards, validators."""
 
 import copy
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -127,6 +128,20 @@ def test_merges_meet_what_is_held(spark):
     assert [(c["field"], c["existing"], c["incoming"]) for c in r["conflicts"]] == [("entity_type", "tool", "library"), ("target_url", "https://github.com/o/r", "https://github.com/o/r/issues")]
 
 
+def test_entities_of_one_long_history(spark):
+    """An entity with 50,000 rows, each of another type: linear in them, with every conflict logged."""
+    n = 50_000
+    text = lambda *cs: [F.lit("x").alias(c) for c in cs]
+    d = spark.range(n).select(
+        F.col("id").alias("seq"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("entity_type"), F.when(F.col("id") == 40_000, "verified").alias("description_source"), F.concat(F.lit("d"), F.col("id").cast("string")).alias("description"),
+        F.lit("https://github.com/o/r").alias("target_url"), F.col("id").alias("github_stars"), F.array((F.col("id") % 3).cast("string")).alias("related_topics"), *text("entity_key", "topic", "name", "maintainer_or_vendor", "freshness_signal"),
+    )
+    t = time.monotonic()
+    r = registry.merged_entities(d.limit(0), d.repartition(4)).select("entity_type", "description", "github_stars", "related_topics", "corroboration_count", F.size("conflicts")).first()
+    assert tuple(r) == ("t0", "d40000", n - 1, ["0", "1", "2"], n, n - 1)
+    assert time.monotonic() - t < 60
+
+
 def test_validators_of_empty_tables(spark):
     e = spark.createDataFrame([], "axis string, slug string, coverage_policy string, status string, replaced_by string")
     got = {(r["subject"], r["message"]) for r in validate.vocabulary_problems(e, "s", {"a": 1}, {}).collect()}
