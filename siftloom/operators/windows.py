@@ -16,8 +16,11 @@ def survivors(rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
 
 
 def accepted_prefix(rows: DataFrame, cell: str, order: Sequence[str], accepted: str, most: int) -> DataFrame:
-    """Rows of each cell in order up to and including its ``most``-th accepted one."""
-    w = Window.partitionBy(cell).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    """Rows of each cell in order up to and including its ``most``-th accepted one.
+    Rows that ``order`` leaves tied go by everything in them, so what is kept doesn't
+    depend on how they arrive; unaccepted ones go first, as nothing says they are late."""
+    rest = [c for c in (accepted, *sorted(rows.columns)) if c not in order]
+    w = Window.partitionBy(cell).orderBy(*order, *dict.fromkeys(rest)).rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum(F.col(accepted).cast("int")).over(w), F.lit(0))
     return rows.withColumn("_b", before).where(F.col("_b") < most).drop("_b")
 

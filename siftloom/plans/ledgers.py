@@ -230,7 +230,7 @@ def survivors(spark, sf_dir):
     """SELECT l_orderkey, l_linenumber FROM (SELECT *, coalesce(sum(CASE WHEN l_returnflag = 'N' THEN 1 ELSE 0 END) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM lineitem) WHERE b < 2"""
 )
 def accepted_prefix_cap(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").withColumn("accepted", F.col("l_returnflag") == "N")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", (F.col("l_returnflag") == "N").alias("accepted"))
     return windows.accepted_prefix(li, "l_orderkey", ["l_linenumber", "l_partkey"], "accepted", 2).select("l_orderkey", "l_linenumber")
 
 

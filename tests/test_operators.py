@@ -124,6 +124,14 @@ def test_windows(spark):
     assert windows.survivors(d, "cell", ["ok"]).first()["n"] == 1
 
 
+def test_accepted_prefix_of_tied_rows(spark):
+    """What is kept of rows that the order leaves tied doesn't depend on how they arrive."""
+    tied = [("c", 1, True, "x"), ("c", 1, True, "y"), ("c", 1, False, "z"), ("c", 1, False, "w"), ("c", 2, False, "v")]
+    for arrived in (tied, tied[::-1], tied[2:] + tied[:2]):
+        d = spark.createDataFrame(arrived, "cell string, n int, ok boolean, s string").coalesce(1)
+        assert sorted(r["s"] for r in windows.accepted_prefix(d, "cell", ["n"], "ok", 1).collect()) == ["w", "x", "z"]
+
+
 def test_comparisons(spark):
     a = spark.createDataFrame([(1, "x", 1), (2, "y", 2)], "k int, name string, t int")
     b = spark.createDataFrame([(1, "z", 9), (3, "w", 3)], "k int, name string, t int")
