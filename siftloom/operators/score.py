@@ -20,8 +20,10 @@ class Policy:
 
 
 def rounded(x: Column) -> Column:
-    """Four decimals of the decimal rendering, halves away from zero."""
-    return F.round(x, 4)
+    """Four decimals as SQL engines round binary doubles: the product with 10,000 to a
+    whole number, halves away from zero. ``round(x, 4)`` looks at the decimal rendering,
+    which is a half more often (.55485 times 10,000 is below 5548.5)."""
+    return F.round(x * 10000) / 10000
 
 
 def relevance(required: Column, boost: Column, excluded: Column, has_required: Column, has_vocabulary: Column) -> Column:

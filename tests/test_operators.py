@@ -2,6 +2,7 @@
 
 import time
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -38,6 +39,16 @@ def test_scores(spark):
     assert tuple(s) == (0.5, 1.0, None, 1.0, None, 1.0, 0.0, 0.68)
 
 
+def test_scores_round_like_sql(spark):
+    """Four decimals of numbers at a half, and of a composite that decimal rendering puts at one."""
+    halves = spark.range(-3000, 10_000).select(((F.col("id") * 2 + 1) / 20_000.0).alias("x"), ((F.col("id") * 2 + 1) * 0.00005).alias("y"))
+    got = halves.select("x", "y", score.rounded(F.col("x")).alias("rx"), score.rounded(F.col("y")).alias("ry")).toPandas()
+    want = duckdb.sql("SELECT x, y, round(x, 4) AS rx, round(y, 4) AS ry FROM got").df()
+    assert got.sort_values("x").values.tolist() == want.sort_values("x").values.tolist()
+    scores = {"relevance": 0.0, "quality": 1.0, "audience_fit": 1.0, "freshness": 0.699}
+    assert spark.range(1).select(score.composite({k: F.lit(v) for k, v in scores.items()}, score.Policy().weights)).first()[0] == 0.5548
+
+
 def test_facet_ties(spark):
     d = spark.createDataFrame([(1, "red blue"), (2, "red crimson"), (3, None)], "id int, text string")
     ev = facets.evidence(d, "id", {"text": "text"}, [("c", "red", ("red", "crimson")), ("c", "blue", ("blue",))])
